@@ -5,31 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARE = 1000  # a key is heavy when it holds more than 1/SHARE of the rows
+MOST_KEYS = 1000  # how many keys are salted at most; any other holds less than 1/1000 of the rows
+MIN_ROWS = 100_000  # a key with fewer rows is no burden for one task
 SALTS = 32
 
 
-def heavy_keys(rows: DataFrame, key: str, share: int = SHARE) -> DataFrame:
-    """Keys holding more than 1/`share` of all rows.
+def heavy_keys(rows: DataFrame, key: str, most: int = MOST_KEYS, min_rows: int = MIN_ROWS) -> DataFrame:
+    """The keys with the most rows, at most `most` of them, each with over `min_rows`.
 
-    There are fewer than `share` of them however large the input is, so the
-    result may be broadcast. Counts combine on the map side, so finding a hot
-    key does not itself meet the skew.
+    The result has a fixed size bound and may be broadcast. A key left out because
+    others are larger has less than 1/`most` of the rows. Counts combine on the map
+    side, so finding a hot key does not itself meet the skew.
     """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = rows.groupBy().agg(F.count(F.lit(1)).alias("_n")).scalar()
-    return counts.where(F.col(key).isNotNull() & (F.col("_n") * share > total)).select(key)
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > min_rows).orderBy(F.desc("_n"), key).limit(most).select(key)
 
 
 def salted_join(
-    facts: DataFrame, lookup: DataFrame, key: str, tie: str, how: str = "inner", salts: int = SALTS
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    tie: str,
+    how: str = "inner",
+    salts: int = SALTS,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Join facts to a lookup with one row per key, spreading heavy keys over `salts` parts.
 
     Only the heavy keys are salted: the facts of one go to `salts` reducers by
     the hash of `tie`, and only those lookup rows are repeated.
     """
-    hot = F.broadcast(heavy_keys(facts, key).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(heavy_keys(facts, key, min_rows=min_rows).withColumn("_hot", F.lit(True)))
     spread = (
         facts.join(hot, key, "left")
         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(tie), F.lit(salts))).otherwise(F.lit(0)))

@@ -13,6 +13,7 @@ from ledgerline.operators.rules import (
     large_amount_flags,
     multi_currency_flags,
     risky_merchants,
+    rule_flags,
     union_all,
     velocity_flags,
     zscore_flags,
@@ -90,8 +91,18 @@ def view_columns(code: str, flags: DataFrame) -> DataFrame:
     return flags.select("account_id", "failed_count", "total_count", "fail_rate_pct")
 
 
-def rule_views(txns: DataFrame, merchants: DataFrame, as_of: Instant, rules: RuleSet = RuleSet(), upper_bound: bool = True):
-    """View id ('R1'..'R6') -> display rows."""
+def rule_view(
+    rule_id: str, txns: DataFrame, merchants: DataFrame, as_of: Instant, rules: RuleSet = RuleSet(), upper_bound: bool = True
+) -> DataFrame:
+    """Display rows of one view ('R1'..'R6')."""
+    code = RULE_IDS[rule_id]
+    return view_columns(code, rule_flags(code, txns, merchants, as_of, rules, upper_bound))
+
+
+def rule_views(
+    txns: DataFrame, merchants: DataFrame, as_of: Instant, rules: RuleSet = RuleSet(), upper_bound: bool = True
+) -> dict[str, DataFrame]:
+    """View id ('R1'..'R6') -> display rows, the account rules from one aggregation."""
     flags = all_rule_flags(txns, merchants, as_of, rules, upper_bound)
     return {rid: view_columns(code, flags[code]) for rid, code in RULE_IDS.items()}
 

@@ -236,22 +236,40 @@ def rule_high_risk(
     return high_risk_flags(txns, merchants, as_of, params, upper_bound).orderBy(F.desc("created_at"), "id")
 
 
+def rule_flags(
+    code: str, txns: DataFrame, merchants: DataFrame, as_of: Instant, rules: RuleSet = RuleSet(), upper_bound: bool = True
+) -> DataFrame:
+    """The flagged rows of one rule, unsorted."""
+    if code == "VELOCITY":
+        return velocity_flags(account_activity(txns, as_of, velocity=rules.velocity, upper_bound=upper_bound), rules.velocity)
+    if code == "MULTI_CCY":
+        activity = account_activity(txns, as_of, multi_currency=rules.multi_currency, upper_bound=upper_bound)
+        return multi_currency_flags(activity, rules.multi_currency)
+    if code == "FAIL_SPIKE":
+        activity = account_activity(txns, as_of, fail_spike=rules.fail_spike, upper_bound=upper_bound)
+        return fail_spike_flags(activity, rules.fail_spike)
+    if code == "ZSCORE":
+        flags = zscore_flags(txns, as_of, rules.zscore, upper_bound)
+        return flags.withColumn("z_score", round_even(F.col("z"), 2)).drop("z")
+    if code == "LARGE_AMT":
+        return large_amount_flags(txns, as_of, rules.large_amount, upper_bound)
+    if code == "HIGH_RISK":
+        return high_risk_flags(txns, merchants, as_of, rules.high_risk, upper_bound)
+    raise ValueError(f"unknown rule: {code}")
+
+
 def all_rule_flags(
     txns: DataFrame, merchants: DataFrame, as_of: Instant, rules: RuleSet = RuleSet(), upper_bound: bool = True
 ) -> dict[str, DataFrame]:
     """The flagged rows of each rule, unsorted; the account rules share one aggregation."""
-    activity = account_activity(
-        txns, as_of, rules.velocity, rules.multi_currency, rules.fail_spike, upper_bound
-    )
-    z = zscore_flags(txns, as_of, rules.zscore, upper_bound)
-    return {
+    activity = account_activity(txns, as_of, rules.velocity, rules.multi_currency, rules.fail_spike, upper_bound)
+    shared = {
         "VELOCITY": velocity_flags(activity, rules.velocity),
-        "ZSCORE": z.withColumn("z_score", round_even(F.col("z"), 2)).drop("z"),
-        "LARGE_AMT": large_amount_flags(txns, as_of, rules.large_amount, upper_bound),
-        "HIGH_RISK": high_risk_flags(txns, merchants, as_of, rules.high_risk, upper_bound),
         "MULTI_CCY": multi_currency_flags(activity, rules.multi_currency),
         "FAIL_SPIKE": fail_spike_flags(activity, rules.fail_spike),
     }
+    order = ("VELOCITY", "ZSCORE", "LARGE_AMT", "HIGH_RISK", "MULTI_CCY", "FAIL_SPIKE")
+    return {c: shared[c] if c in shared else rule_flags(c, txns, merchants, as_of, rules, upper_bound) for c in order}
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
