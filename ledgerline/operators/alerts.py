@@ -294,7 +294,7 @@ def shortened(text: Column, length: int) -> Column:
 def grouped_number(text: Column) -> Column:
     """Number with thousands separators and at most two decimals, no trailing zeros."""
     value = text.try_cast("double")
-    formatted = F.regexp_replace(F.format_number(value, "#,##0.##"), "^-0$", "0")
+    formatted = F.regexp_replace(F.call_function("format_number", value, F.lit("#,##0.##")), "^-0$", "0")
     return F.when(value.isNull(), text).otherwise(formatted)
 
 

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from workload import dashboard_queries, rule_queries
+from workload import alert_queries, dashboard_queries, ledger_queries, rule_queries, state_queries, stream_queries
 
-REGISTERED = {**rule_queries.QUERIES, **dashboard_queries.QUERIES}
-FLAGSHIP = REGISTERED["rule_velocity"][0]
+REGISTERED = {
+    **state_queries.QUERIES,
+    **rule_queries.QUERIES,
+    **alert_queries.QUERIES,
+    **dashboard_queries.QUERIES,
+    **ledger_queries.QUERIES,
+    **stream_queries.QUERIES,
+}
+FLAGSHIP = REGISTERED["messages_to_velocity"][0]
