@@ -19,7 +19,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,14 @@ PART_SCHEMA = (
     "cents bigint, intent string, outcome string, recorded boolean, status string, reason string, "
     "balance_cents bigint, account_status string, net bigint, need bigint, commands boolean"
 )
-COLUMNS = [c.split()[0] for c in PART_SCHEMA.split(", ")]
+ARROW_TYPES = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "boolean": pa.bool_(),
+    "timestamp": pa.timestamp("us", tz="UTC"),
+}
+ARROW_SCHEMA = pa.schema([(c.split()[0], ARROW_TYPES[c.split()[1]]) for c in PART_SCHEMA.split(", ")])
 RESULT = ["account_id", "at", "id", "kind", "type", "amount", "outcome", "recorded", "status", "reason", "balance_after", "account_status"]
 
 
@@ -69,82 +77,90 @@ def ledger_timeline(events: DataFrame, accounts: DataFrame) -> DataFrame:
     return opening.unionByName(flow)
 
 
-def decide_rows(rows: pd.DataFrame, account, segment: int):
-    """Decide consecutive events of one account; (decided rows, account afterwards)."""
-    results = []
-    for kind, txn_type, cents, intent in zip(rows["kind"], rows["type"], rows["cents"], rows["intent"], strict=True):
-        amount = None if pd.isna(cents) else int(cents)
-        if kind == "open":
-            account = (amount, txn_type)
-            results.append((None, None, None, None, amount, txn_type))
-            continue
-        account, outcome, recorded, status, reason = decide(account, kind, txn_type, amount, intent)
-        balance, state = account if account else (None, None)
-        results.append((outcome, recorded, status, reason, balance, state))
-    outcome, recorded, status, reason, balance, state = zip(*results, strict=True)
-    decided = rows.assign(
-        part=DECIDED,
-        segment=segment,
-        outcome=outcome,
-        recorded=recorded,
-        status=status,
-        reason=reason,
-        balance_cents=pd.array(balance, dtype="Int64"),
-        account_status=state,
-        net=None,
-        need=None,
-        commands=None,
-    )
-    return decided[decided["kind"] != "open"][COLUMNS], account
+class SegmentSummary:
+    """Net change of a run of events, and the opening balance that lets all of them pass."""
 
+    def __init__(self) -> None:
+        self.net, self.need, self.commands = 0, 0, False
 
-def marker(part: str, segment: int, account_id: str, **values) -> pd.DataFrame:
-    return pd.DataFrame([{**dict.fromkeys(COLUMNS), "part": part, "segment": segment, "account_id": account_id, **values}])
+    def add(self, kind, txn_type, cents, intent) -> None:
+        if kind != "txn":
+            self.commands = True
+        elif intent != "failed":
+            debit = txn_type in DEBIT_TYPES
+            if debit:
+                self.need = max(self.need, cents - self.net)
+            self.net += -cents if debit else cents
 
 
-def closing_row(segment: int, account_id: str, account) -> pd.DataFrame:
+def decided_batch(batch: pa.RecordBatch, parts: list, results: list) -> pa.RecordBatch:
+    """The events of a batch with their decisions; rows without a part are left out."""
+    passed = {c: batch.column(c) for c in ("segment", "account_id", "at", "id", "kind", "type", "cents", "intent")}
+    outcome, recorded, status, reason, balance, state = zip(*results, strict=True)
+    decisions = {
+        "part": parts,
+        "outcome": outcome,
+        "recorded": recorded,
+        "status": status,
+        "reason": reason,
+        "balance_cents": balance,
+        "account_status": state,
+    }
+    return to_batch({**passed, **decisions}, batch.num_rows).filter(pc.is_valid(pa.array(parts, pa.string())))
+
+
+def to_batch(values: dict, rows: int) -> pa.RecordBatch:
+    columns = []
+    for field in ARROW_SCHEMA:
+        value = values.get(field.name)
+        if value is None:
+            columns.append(pa.nulls(rows, field.type))
+        else:
+            columns.append(value.cast(field.type) if isinstance(value, pa.Array) else pa.array(value, field.type))
+    return pa.RecordBatch.from_arrays(columns, schema=ARROW_SCHEMA)
+
+
+def marker(part: str, segment: int, account_id: str, **values) -> pa.RecordBatch:
+    row = {"part": part, "segment": segment, "account_id": account_id, **values}
+    return to_batch({c: [v] for c, v in row.items()}, 1)
+
+
+def closing_row(segment: int, account_id: str, account) -> pa.RecordBatch:
     balance, state = account if account else (None, None)
     return marker(CLOSING, segment, account_id, balance_cents=balance, account_status=state)
 
 
-class SegmentSummary:
-    """Net change of a run of events, and the opening balance that lets all of them pass."""
+NO_DECISION = (None, None, None, None, None, None)
+INPUTS = ("segment", "account_id", "kind", "type", "cents", "intent")
 
-    def __init__(self) -> None:
-        self.net, self.need, self.commands = 0, 0, False
 
-    def add(self, rows: pd.DataFrame) -> None:
-        acting = rows[(rows["kind"] == "txn") & (rows["intent"] != "failed")]
-        self.commands = self.commands or bool((rows["kind"] != "txn").any())
-        if acting.empty:
-            return
-        cents = acting["cents"].astype("int64")
-        debit = acting["type"].isin(DEBIT_TYPES)
-        signed = cents.where(~debit, -cents)
-        after = self.net + signed.cumsum()
-        self.need = max(self.need, int((-after[debit]).max()) if debit.any() else 0)
-        self.net = int(after.iloc[-1])
-
-
-def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One part: decide the accounts that begin here, set the continued one aside."""
-    leading = current = account = None
-    segment, summary = 0, SegmentSummary()
+    leading = current = account = segment = None
+    summary = SegmentSummary()
     for batch in batches:
-        for account_id, rows in batch.groupby("account_id", sort=False):
-            segment = int(rows["segment"].iloc[0])
-            begins = account_id != current
-            if begins:
-                if current is None and rows["kind"].iloc[0] != "open":
+        parts, results = [], []
+        for segment, account_id, kind, txn_type, cents, intent in zip(
+            *[batch.column(c).to_pylist() for c in INPUTS], strict=True
+        ):
+            if account_id != current:
+                if current is None and kind != "open":
                     leading = account_id
                 current, account = account_id, None
             if account_id == leading:
-                summary.add(rows)
-                yield rows.assign(part=PENDING).reindex(columns=COLUMNS)
-                continue
-            decided, account = decide_rows(rows, account, segment)
-            if len(decided):
-                yield decided
+                summary.add(kind, txn_type, cents, intent)
+                parts.append(PENDING)
+                results.append(NO_DECISION)
+            elif kind == "open":
+                account = (cents, txn_type)
+                parts.append(None)
+                results.append(NO_DECISION)
+            else:
+                account, *decision = decide(account, kind, txn_type, cents, intent)
+                parts.append(DECIDED)
+                results.append((*decision, *(account or (None, None))))
+        if parts:
+            yield decided_batch(batch, parts, results)
     if leading is not None:
         yield marker(SUMMARY, segment, leading, net=summary.net, need=summary.need, commands=summary.commands)
     if current is not None and current != leading:
@@ -154,18 +170,24 @@ def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def continued_pass(openings: dict[int, tuple | None]):
     """Decide set-aside parts whose opening state is known."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segment = account_id = account = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = owner = account = None
         for batch in batches:
-            for number, rows in batch.groupby("segment", sort=False):
-                if number != segment:
-                    if segment is not None:
-                        yield closing_row(int(segment), account_id, account)
-                    segment, account_id, account = number, rows["account_id"].iloc[0], openings[int(number)]
-                decided, account = decide_rows(rows, account, int(number))
-                yield decided
-        if segment is not None:
-            yield closing_row(int(segment), account_id, account)
+            results, closed = [], []
+            for segment, account_id, kind, txn_type, cents, intent in zip(
+                *[batch.column(c).to_pylist() for c in INPUTS], strict=True
+            ):
+                if segment != current:
+                    if current is not None:
+                        closed.append(closing_row(current, owner, account))
+                    current, owner, account = segment, account_id, openings[segment]
+                account, *decision = decide(account, kind, txn_type, cents, intent)
+                results.append((*decision, *(account or (None, None))))
+            if results:
+                yield decided_batch(batch, [DECIDED] * len(results), results)
+            yield from closed
+        if current is not None:
+            yield closing_row(current, owner, account)
 
     return run
 
@@ -215,7 +237,7 @@ def apply_ledger(events: DataFrame, accounts: DataFrame, parts: int | None = Non
         .sortWithinPartitions(*ORDER)
         .withColumn("segment", F.spark_partition_id())
     )
-    timeline.mapInPandas(first_pass, PART_SCHEMA).write.partitionBy("part").parquet(f"{folder}/round=0")
+    timeline.mapInArrow(first_pass, PART_SCHEMA).write.partitionBy("part").parquet(f"{folder}/round=0")
     first = spark.read.schema(PART_SCHEMA).parquet(f"{folder}/round=0")
 
     def closings(rows: DataFrame) -> list:
@@ -240,7 +262,7 @@ def apply_ledger(events: DataFrame, accounts: DataFrame, parts: int | None = Non
         (
             chosen.repartition(max(1, min(count, len(ready))), "segment")
             .sortWithinPartitions("segment", "at", "id")
-            .mapInPandas(continued_pass(ready), PART_SCHEMA)
+            .mapInArrow(continued_pass(ready), PART_SCHEMA)
             .write.partitionBy("part")
             .parquet(f"{folder}/round={number}")
         )

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ledgerline.functions.timing import Instant, before, month_key
@@ -60,7 +61,7 @@ def version_log_sink(path: str, checkpoint: str, prepare: Callable[[DataFrame],
 
 def read_log(spark: SparkSession, path: str, table: TableSpec) -> DataFrame:
     """The typed version log; an absent or still empty log reads as no rows."""
-    schema = table.state_schema().add("yyyymm", "int").add("writer", "string").add("batch_id", "bigint")
+    schema = table.state_schema().add("yyyymm", T.IntegerType()).add("writer", T.StringType()).add("batch_id", T.LongType())
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:

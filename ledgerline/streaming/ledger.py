@@ -37,8 +37,8 @@ def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
         )
     if account:
         state.update(account)
-    frame = pd.DataFrame(results, columns=NAMES)
-    yield frame.astype({"cents": "Int64", "balance_cents": "Int64"})
+    frame = pd.DataFrame(results, columns=NAMES, dtype=object)
+    yield frame.astype({"at": "datetime64[us]", "cents": "Int64", "balance_cents": "Int64"})
 
 
 def stream_ledger(timeline: DataFrame) -> DataFrame:

@@ -264,7 +264,8 @@ def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ledger_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts with an opening balance; every 15th customer is unknown to the ledger."""
     a = accounts(spark, sf_dir).where(F.col("id").cast("bigint") % 15 != 14)
-    return a.select("id", (F.abs("balance") / 4).cast("decimal(18,2)").alias("balance"), "status")
+    quarter = F.expr("CAST(abs(balance) * 100 AS BIGINT) div 4").cast("decimal(18,0)") / 100
+    return a.select("id", quarter.cast("decimal(18,2)").alias("balance"), "status")
 
 
 def intents(spark: SparkSession, sf_dir: str) -> DataFrame:

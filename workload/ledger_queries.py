@@ -10,16 +10,16 @@ from workload import adapters as A
 from workload.adapters import out, with_views
 
 EVENTS_SQL = """flow AS (
-  SELECT CAST(user_id AS VARCHAR) AS account_id, ts AS at, CAST(event_id AS VARCHAR) AS id,
+  SELECT CAST(user_id AS VARCHAR) AS account_id, ts AS "at", CAST(event_id AS VARCHAR) AS id,
     CASE WHEN event_id % 23 = 0 THEN 'suspend' WHEN event_id % 23 = 1 THEN 'reactivate' WHEN event_id % 11 = 0 THEN 'topup' ELSE 'txn' END AS kind,
     CASE event_type WHEN 'signup' THEN 'refund' WHEN 'view' THEN 'transfer' ELSE 'purchase' END AS type,
     CAST(value * 3 AS DECIMAL(18,2)) AS amount, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS intent FROM events),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY at, id) AS n FROM flow),
-opening AS (SELECT id AS account_id, CAST(abs(balance) / 4 AS DECIMAL(18,2)) AS balance, status FROM accounts WHERE c_custkey % 15 <> 14)"""
+numbered AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY "at", id) AS n FROM flow),
+opening AS (SELECT id AS account_id, CAST((CAST(abs(balance) * 100 AS BIGINT) // 4) / 100.0 AS DECIMAL(18,2)) AS balance, status FROM accounts WHERE c_custkey % 15 <> 14)"""
 
 # One step per event in account order; an unknown account has neither balance nor status.
 FOLD_SQL = """fold AS (
-  SELECT a.account_id, CAST(0 AS BIGINT) AS n, o.balance, o.status AS state, CAST(NULL AS TIMESTAMP) AS at, CAST(NULL AS VARCHAR) AS id,
+  SELECT a.account_id, CAST(0 AS BIGINT) AS n, o.balance, o.status AS state, CAST(NULL AS TIMESTAMP) AS "at", CAST(NULL AS VARCHAR) AS id,
     CAST(NULL AS VARCHAR) AS kind, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS DECIMAL(18,2)) AS amount,
     CAST(NULL AS VARCHAR) AS outcome, CAST(NULL AS VARCHAR) AS txn_status, CAST(NULL AS VARCHAR) AS reason
   FROM (SELECT DISTINCT account_id FROM flow) a LEFT JOIN opening o ON o.account_id = a.account_id
@@ -32,7 +32,7 @@ FOLD_SQL = """fold AS (
          ELSE f.balance END,
     CASE WHEN e.kind = 'suspend' AND f.state = 'active' THEN 'suspended'
          WHEN e.kind = 'reactivate' AND f.state = 'suspended' THEN 'active' ELSE f.state END,
-    e.at, e.id, e.kind, e.type, e.amount,
+    e."at", e.id, e.kind, e.type, e.amount,
     CASE WHEN e.kind = 'topup' AND e.amount <= 0 THEN 'V' WHEN f.state IS NULL THEN 'M'
          WHEN e.kind = 'txn' THEN CASE WHEN f.state <> 'active' THEN 'R' WHEN e.intent = 'failed' THEN 'F'
               WHEN e.type <> 'refund' AND f.balance < e.amount THEN 'I' ELSE 'C' END
@@ -49,7 +49,7 @@ FOLD_SQL = """fold AS (
          WHEN e.kind = 'suspend' THEN CASE WHEN f.state <> 'active' THEN 'not_active' END
          ELSE CASE WHEN f.state <> 'suspended' THEN 'not_suspended' END END
   FROM fold f JOIN numbered e ON e.account_id = f.account_id AND e.n = f.n + 1),
-decided AS (SELECT account_id, at, id, kind, type, CAST(amount AS DOUBLE) AS amount, outcome, txn_status IS NOT NULL AS recorded,
+decided AS (SELECT account_id, "at", id, kind, type, CAST(amount AS DOUBLE) AS amount, outcome, txn_status IS NOT NULL AS recorded,
     txn_status AS status, reason, CAST(balance AS DOUBLE) AS balance_after, state AS account_status, n FROM fold WHERE n > 0)"""
 
 
@@ -114,7 +114,7 @@ QUERIES = {
     "ledger_transactions": (
         lambda s, d: out(B.recorded_transactions(ledger(s, d))),
         fold_sql(
-            "SELECT id, account_id, amount, CASE WHEN kind = 'topup' THEN 'deposit' ELSE type END AS type, status, reason AS description, at AS created_at "
+            "SELECT id, account_id, amount, CASE WHEN kind = 'topup' THEN 'deposit' ELSE type END AS type, status, reason AS description, \"at\" AS created_at "
             "FROM decided WHERE recorded"
         ),
     ),

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.operators import ledger as B
 from ledgerline.operators.state import latest_state
@@ -26,7 +27,8 @@ from workload import adapters as A
 from workload.adapters import AS_OF, RULES, out, with_views
 from workload.alert_queries import CASES, RULE_VIEWS
 from workload.ledger_queries import fold_sql
-from workload.rule_queries import ALL_FLAGS, PAYLOADS, T
+from workload.rule_queries import ALL_FLAGS, PAYLOADS
+from workload.rule_queries import T as NOW
 from workload.state_queries import TYPED
 
 
@@ -58,7 +60,7 @@ class Run:
             ).partitionBy("batch_id").parquet(self.path(name))
 
         self.finish(start(rows.writeStream.outputMode(mode).foreachBatch(write), self.path(f"{name}-checkpoint"), None))
-        return self.spark.read.schema(rows.schema.add("batch_id", "bigint")).parquet(self.path(name))
+        return self.spark.read.schema(rows.schema.add("batch_id", T.LongType())).parquet(self.path(name))
 
 
 def sourced(s, d):
@@ -177,7 +179,8 @@ def streamed_ledger(s, d):
     """The ledger as a keyed stream over JSON events."""
     run = Run(s)
     timeline = B.ledger_timeline(A.ledger_events(s, d), A.ledger_accounts(s, d))
-    timeline.select(F.to_json(F.struct("*")).alias("value")).write.text(run.path("in"))
+    precise = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    timeline.select(F.to_json(F.struct("*"), precise).alias("value")).write.text(run.path("in"))
     events = wire_timeline(s.readStream.format("text").load(run.path("in")))
     return out(run.append(stream_ledger(events), "decided").drop("batch_id"))
 
@@ -219,7 +222,7 @@ QUERIES = {
     "stream_detect": (
         detected,
         with_views(
-            f"SELECT rule_code, account_id, txn_count, total_amount, severity, evidence, 'open' AS status, {T} AS created_at FROM cases",
+            f"SELECT rule_code, account_id, txn_count, total_amount, severity, evidence, 'open' AS status, {NOW} AS created_at FROM cases",
             *RULE_VIEWS,
             extra=(*ALL_FLAGS, PAYLOADS, CASES),
         ),
