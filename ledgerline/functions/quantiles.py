@@ -21,7 +21,3 @@ def interpolated(value: str, probability: float) -> Column:
     """Linearly interpolated quantile over :func:`value_counts` rows."""
     return F.percentile(value, F.lit(probability), F.col("_freq"))
 
-
-def approximate(value: str, probability: float, accuracy: int = 10_000) -> Column:
-    """Quantile with a rank error of at most 1/accuracy, over plain rows."""
-    return F.percentile_approx(value, F.lit(probability), F.lit(accuracy))

@@ -17,8 +17,8 @@ def heavy_keys(rows: DataFrame, key: str, most: int = MOST_KEYS, min_rows: int =
     others are larger has less than 1/`most` of the rows. Counts combine on the map
     side, so finding a hot key does not itself meet the skew.
     """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > min_rows).orderBy(F.desc("_n"), key).limit(most).select(key)
+    counts = rows.where(f"{key} IS NOT NULL").groupBy(key).agg(F.expr("count(*) AS _n"))
+    return counts.where(f"_n > {min_rows}").orderBy(F.desc("_n"), key).limit(most).select(key)
 
 
 def salted_join(
@@ -35,16 +35,11 @@ def salted_join(
     Only the heavy keys are salted: the facts of one go to `salts` reducers by
     the hash of `tie`, and only those lookup rows are repeated.
     """
-    hot = F.broadcast(heavy_keys(facts, key, min_rows=min_rows).withColumn("_hot", F.lit(True)))
-    spread = (
-        facts.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(tie), F.lit(salts))).otherwise(F.lit(0)))
-        .drop("_hot")
+    hot = F.broadcast(heavy_keys(facts, key, min_rows=min_rows).selectExpr(key, "true AS _hot"))
+    spread = facts.join(hot, key, "left").selectExpr(
+        "* EXCEPT (_hot)", f"IF(_hot, pmod(xxhash64({tie}), {salts}), 0L) AS _salt"
     )
-    last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0)).cast("bigint")
-    repeated = (
-        lookup.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .drop("_hot")
+    repeated = lookup.join(hot, key, "left").selectExpr(
+        "* EXCEPT (_hot)", f"explode(sequence(0L, IF(_hot, {salts - 1}L, 0L))) AS _salt"
     )
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")

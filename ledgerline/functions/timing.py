@@ -1,4 +1,8 @@
-"""Time expressions. Everything is relative to an explicit `as_of` instant."""
+"""Time expressions. Everything is relative to an explicit `as_of` instant.
+
+The `*_sql` forms give SQL text to be placed inside larger expressions; the other
+functions give columns.
+"""
 
 from __future__ import annotations
 
@@ -7,60 +11,70 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Instant = str | datetime | Column
+Instant = str | datetime
 
 
-def instant(value: Instant) -> Column:
-    """A timestamp column from text such as '2024-01-31 00:00:00', a datetime or a column."""
-    return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
+def instant_sql(value: Instant) -> str:
+    """Timestamp literal for text such as '2024-01-31 00:00:00' or a datetime."""
+    if isinstance(value, datetime):
+        return f"timestamp_micros({round(value.timestamp() * 1_000_000)})"
+    if "'" in value or "\\" in value:
+        raise ValueError(f"not an instant: {value}")
+    return f"TIMESTAMP '{value}'"
 
 
-def before(as_of: Instant, seconds: int) -> Column:
-    """The instant `seconds` earlier than `as_of` (folds to a literal, so it is pushed down)."""
-    return instant(as_of) - F.expr(f"INTERVAL {int(seconds)} SECONDS")
+def before_sql(as_of: Instant, seconds: int) -> str:
+    return f"({instant_sql(as_of)} - INTERVAL {int(seconds)} SECONDS)"
 
 
-def trailing(col: str | Column, as_of: Instant, seconds: int, upper_bound: bool = True) -> Column:
+def trailing_sql(col: str, as_of: Instant, seconds: int, upper_bound: bool = True) -> str:
     """`as_of - seconds <= col <= as_of`.
 
-    The upper bound keeps replays of past instants honest; without it rows dated
-    after `as_of` count too, as a query anchored at the current time lets them.
+    The bounds fold to literals, so they reach the scan. The upper bound keeps
+    replays of past instants honest; without it rows dated after `as_of` count too,
+    as a query anchored at the current time lets them.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    lower = c >= before(as_of, seconds)
-    return lower & (c <= instant(as_of)) if upper_bound else lower
+    lower = f"{col} >= {before_sql(as_of, seconds)}"
+    return f"({lower} AND {col} <= {instant_sql(as_of)})" if upper_bound else f"({lower})"
 
 
-def just_ingested(col: str | Column, as_of: Instant, seconds: int, upper_bound: bool = True) -> Column:
-    """Like :func:`trailing`, but with an open lower end."""
-    c = F.col(col) if isinstance(col, str) else col
-    lower = c > before(as_of, seconds)
-    return lower & (c <= instant(as_of)) if upper_bound else lower
+def instant(value: Instant) -> Column:
+    return F.expr(instant_sql(value))
 
 
-def minute(col: str | Column) -> Column:
-    return F.date_trunc("minute", F.col(col) if isinstance(col, str) else col)
+def before(as_of: Instant, seconds: int) -> Column:
+    """The instant `seconds` earlier than `as_of`."""
+    return F.expr(before_sql(as_of, seconds))
 
 
-def millis_between(start: str | Column, end: str | Column) -> Column:
-    """Whole milliseconds from start to end, counted by millisecond boundaries."""
-    return F.unix_millis(F.col(end) if isinstance(end, str) else end) - F.unix_millis(
-        F.col(start) if isinstance(start, str) else start
-    )
+def trailing(col: str, as_of: Instant, seconds: int, upper_bound: bool = True) -> Column:
+    return F.expr(trailing_sql(col, as_of, seconds, upper_bound))
 
 
-def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """Second boundaries crossed from start to end."""
-    return F.unix_timestamp(F.col(end) if isinstance(end, str) else end) - F.unix_timestamp(
-        F.col(start) if isinstance(start, str) else start
-    )
+def just_ingested(col: str, as_of: Instant, seconds: int, upper_bound: bool = True) -> Column:
+    """Like :func:`trailing`, but with an open lower end."""
+    lower = f"{col} > {before_sql(as_of, seconds)}"
+    return F.expr(f"({lower} AND {col} <= {instant_sql(as_of)})" if upper_bound else lower)
+
+
+def minute(col: str) -> Column:
+    return F.expr(f"date_trunc('minute', {col})")
+
+
+def millis_between(start: str, end: str) -> Column:
+    """Whole milliseconds from start to end, counted by millisecond boundaries."""
+    return F.expr(f"unix_millis({end}) - unix_millis({start})")
 
 
 def month_key(col: str | Column) -> Column:
     """Partition value of the version log, such as 202401."""
-    return F.date_format(F.col(col) if isinstance(col, str) else col, "yyyyMM").cast("int")
+    return F.date_format(col, "yyyyMM").cast("int")
 
 
-def stamp_text(col: str | Column) -> Column:
+def stamp_sql(col: str) -> str:
     """Millisecond text form used in evidence and in the rule views."""
-    return F.date_format(F.col(col) if isinstance(col, str) else col, "yyyy-MM-dd HH:mm:ss.SSS")
+    return f"date_format({col}, 'yyyy-MM-dd HH:mm:ss.SSS')"
+
+
+def stamp_text(col: str) -> Column:
+    return F.expr(stamp_sql(col))

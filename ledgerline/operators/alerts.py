@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.timing import Instant, instant, stamp_text, trailing
+from ledgerline.functions.timing import Instant, before, instant, instant_sql, stamp_sql, trailing
 from ledgerline.functions.values import severity_name, severity_rank, spelled_out
 from ledgerline.operators.rules import union_all
 from ledgerline.params import DEDUP_WINDOW_S, DEDUP_WINDOW_UNKNOWN_S, RuleSet
@@ -19,51 +19,60 @@ RAW_TEXT_LENGTH, SHORT_ID_LENGTH = 120, 8
 TOTAL = "decimal(38,2)"
 
 
-def classify_severity(code: str, rules: RuleSet = RuleSet()) -> Column:
-    """Severity of one flagged row of a rule."""
+def classify_severity(code: str, rules: RuleSet = RuleSet()) -> str:
+    """SQL for the severity of one flagged row of a rule."""
     if code == "ZSCORE":
-        return F.when(F.abs("z_score") > rules.zscore.critical_abs_z, "critical").otherwise("high")
+        return f"IF(abs(z_score) > {float(rules.zscore.critical_abs_z)!r}D, 'critical', 'high')"
     if code == "LARGE_AMT":
-        limit = F.lit(rules.large_amount.critical_amount).cast("decimal(18,2)")
-        return F.when(F.col("amount") > limit, "critical").otherwise("high")
-    return F.lit("medium" if code in ("HIGH_RISK", "MULTI_CCY") else "high")
-
-
-def evidence(code: str) -> Column:
-    """What the case shows as proof, as JSON text; absent values are written as null."""
-    txn = F.col("id").alias("txn_id")
-    fields = {
-        "VELOCITY": [
-            "window_seconds",
-            stamp_text("window_start").alias("window_start"),
-            stamp_text("window_end").alias("window_end"),
-            "txn_types",
-            "txn_statuses",
-        ],
-        "ZSCORE": [
-            txn,
-            F.col("z_score").cast("decimal(38,2)").alias("z_score"),
-            "type",
-            "merchant_id",
-            F.col("avg_amount").cast("decimal(38,6)").alias("avg_amount"),
-            F.col("std_amount").cast("decimal(38,6)").alias("std_amount"),
-            "txn_count_30d",
-        ],
-        "LARGE_AMT": [txn, "currency", "type", "merchant_id", "status"],
-        "HIGH_RISK": [txn, "merchant_name", "risk_level", "type"],
-        "MULTI_CCY": [
-            "currencies",
-            "currency_count",
-            stamp_text("first_txn").alias("first_txn"),
-            stamp_text("last_txn").alias("last_txn"),
-        ],
-        "FAIL_SPIKE": [
-            "failed_count",
-            "total_count",
-            F.col("fail_rate_pct").cast("decimal(38,1)").alias("fail_rate_pct"),
-        ],
-    }[code]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+        return f"IF(amount > CAST({rules.large_amount.critical_amount} AS DECIMAL(18,2)), 'critical', 'high')"
+    return "'medium'" if code in ("HIGH_RISK", "MULTI_CCY") else "'high'"
+
+
+# ---- fixed values: fields of the evidence per rule ----
+EVIDENCE_FIELDS = {
+    "VELOCITY": {
+        "window_seconds": "window_seconds",
+        "window_start": stamp_sql("window_start"),
+        "window_end": stamp_sql("window_end"),
+        "txn_types": "txn_types",
+        "txn_statuses": "txn_statuses",
+    },
+    "ZSCORE": {
+        "txn_id": "id",
+        "z_score": "CAST(z_score AS DECIMAL(38,2))",
+        "type": "type",
+        "merchant_id": "merchant_id",
+        "avg_amount": "CAST(avg_amount AS DECIMAL(38,6))",
+        "std_amount": "CAST(std_amount AS DECIMAL(38,6))",
+        "txn_count_30d": "txn_count_30d",
+    },
+    "LARGE_AMT": {
+        "txn_id": "id",
+        "currency": "currency",
+        "type": "type",
+        "merchant_id": "merchant_id",
+        "status": "status",
+    },
+    "HIGH_RISK": {"txn_id": "id", "merchant_name": "merchant_name", "risk_level": "risk_level", "type": "type"},
+    "MULTI_CCY": {
+        "currencies": "currencies",
+        "currency_count": "currency_count",
+        "first_txn": stamp_sql("first_txn"),
+        "last_txn": stamp_sql("last_txn"),
+    },
+    "FAIL_SPIKE": {
+        "failed_count": "failed_count",
+        "total_count": "total_count",
+        "fail_rate_pct": "CAST(fail_rate_pct AS DECIMAL(38,1))",
+    },
+}
+# -------------------------------------------------------
+
+
+def evidence(code: str) -> str:
+    """SQL for what the case shows as proof, as JSON text; absent values are written as null."""
+    fields = ", ".join(f"'{name}', {value}" for name, value in EVIDENCE_FIELDS[code].items())
+    return f"to_json(named_struct({fields}), map('ignoreNullFields', 'false'))"
 
 
 def alert_payload(code: str, flags: DataFrame, rules: RuleSet = RuleSet()) -> DataFrame:
@@ -72,26 +81,23 @@ def alert_payload(code: str, flags: DataFrame, rules: RuleSet = RuleSet()) -> Da
     `position` orders the rows of an account the way the rule sorts its result;
     the lowest is the one whose evidence a case keeps.
     """
-    none = F.lit(0).cast(TOTAL)
-    amount = F.col("amount").cast(TOTAL)
-    shape = {
-        "VELOCITY": (F.col("txn_count"), F.col("total_amount").cast(TOTAL), F.lit(0.0)),
-        "ZSCORE": (F.lit(1), amount, -F.abs(F.col("z_score"))),
-        "LARGE_AMT": (F.lit(1), amount, -F.col("amount").cast("double")),
-        "HIGH_RISK": (F.lit(1), amount, -F.unix_micros("created_at").cast("double")),
-        "MULTI_CCY": (F.col("txn_count"), none, F.lit(0.0)),
-        "FAIL_SPIKE": (F.col("failed_count"), none, F.lit(0.0)),
+    count, total, position, txn_id = {
+        "VELOCITY": ("txn_count", "total_amount", "0D", "''"),
+        "ZSCORE": ("1", "amount", "-abs(z_score)", "id"),
+        "LARGE_AMT": ("1", "amount", "-CAST(amount AS DOUBLE)", "id"),
+        "HIGH_RISK": ("1", "amount", "-CAST(unix_micros(created_at) AS DOUBLE)", "id"),
+        "MULTI_CCY": ("txn_count", "0", "0D", "''"),
+        "FAIL_SPIKE": ("failed_count", "0", "0D", "''"),
     }[code]
-    count, total, position = shape
-    return flags.select(
-        F.lit(code).alias("rule_code"),
+    return flags.selectExpr(
+        f"'{code}' AS rule_code",
         "account_id",
-        count.cast("bigint").alias("txn_count"),
-        total.alias("total_amount"),
-        classify_severity(code, rules).alias("severity"),
-        evidence(code).alias("evidence"),
-        position.alias("position"),
-        (F.col("id") if "id" in flags.columns else F.lit("")).alias("txn_id"),
+        f"CAST({count} AS BIGINT) AS txn_count",
+        f"CAST({total} AS {TOTAL}) AS total_amount",
+        f"{classify_severity(code, rules)} AS severity",
+        f"{evidence(code)} AS evidence",
+        f"{position} AS position",
+        f"{txn_id} AS txn_id",
     )
 
 
@@ -131,23 +137,20 @@ def aggregate_alerts(payloads: DataFrame) -> DataFrame:
     )
 
 
-def dedup_window(rule: str | Column, override_s: int | None = None) -> Column:
-    """Suppression seconds of a rule."""
+def dedup_window(override_s: int | None = None) -> str:
+    """SQL for the suppression seconds of `rule_code`."""
     if override_s is not None:
-        return F.lit(int(override_s))
-    code = F.col(rule) if isinstance(rule, str) else rule
-    seconds = F.lit(DEDUP_WINDOW_UNKNOWN_S)
-    for name, value in DEDUP_WINDOW_S.items():
-        seconds = F.when(code == name, F.lit(value)).otherwise(seconds)
-    return seconds
+        return str(int(override_s))
+    known = " ".join(f"WHEN '{code}' THEN {seconds}" for code, seconds in DEDUP_WINDOW_S.items())
+    return f"CASE rule_code {known} ELSE {DEDUP_WINDOW_UNKNOWN_S} END"
 
 
 def suppressing_cases(alerts: DataFrame, as_of: Instant, override_s: int | None = None) -> DataFrame:
     """(account, rule) pairs with a case younger than the rule's suppression window."""
     longest = override_s if override_s is not None else max(*DEDUP_WINDOW_S.values(), DEDUP_WINDOW_UNKNOWN_S)
-    recent = alerts.where(F.col("created_at") > instant(as_of) - F.expr(f"INTERVAL {int(longest)} SECONDS"))
-    age = F.unix_micros(instant(as_of)) - F.unix_micros("created_at")
-    young = recent.where(age < dedup_window("rule_code", override_s).cast("bigint") * 1_000_000)
+    age_us = f"unix_micros({instant_sql(as_of)}) - unix_micros(created_at)"
+    recent = alerts.where(F.col("created_at") > before(as_of, longest))
+    young = recent.where(f"{age_us} < ({dedup_window(override_s)}) * 1000000L")
     return young.select("account_id", "rule_code").distinct()
 
 

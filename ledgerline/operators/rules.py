@@ -11,24 +11,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.skew import salted_join
-from ledgerline.functions.timing import Instant, seconds_between, trailing
-from ledgerline.functions.values import exact_sum, round_even
+from ledgerline.functions.timing import Instant, trailing, trailing_sql
 from ledgerline.params import FailSpike, HighRisk, LargeAmount, MultiCurrency, RuleSet, Velocity, ZScore
 
 
-def count_by(cells: str, value: str) -> Column:
-    """Counted values of one dimension from the collected cells, in value order."""
-    values = F.array_sort(F.array_distinct(F.transform(cells, lambda c: c[value])))
-
-    def total(v: Column) -> Column:
-        mine = F.filter(cells, lambda c: c[value] == v)
-        return F.aggregate(mine, F.lit(0).cast("bigint"), lambda acc, c: acc + c["n"])
-
-    return F.transform(values, lambda v: F.struct(v.alias("value"), total(v).alias("n")))
+def counted_values(cells: str, field: str) -> str:
+    """SQL for the counted values of one dimension of the collected cells, in value order."""
+    return (
+        f"transform(array_sort(array_distinct(transform({cells}, c -> c.{field}))), v -> named_struct('value', v, 'n', "
+        f"aggregate(filter({cells}, c -> c.{field} = v), 0L, (total, c) -> total + c.n)))"
+    )
 
 
 def account_activity(
@@ -43,92 +39,88 @@ def account_activity(
     wanted = [p for p in (velocity, multi_currency, fail_spike) if p]
     recent = txns.where(trailing("created_at", as_of, max(p.window_s for p in wanted), upper_bound))
 
-    def within(p) -> Column:
-        return trailing("created_at", as_of, p.window_s, upper_bound)
+    def inside(p) -> str:
+        return trailing_sql("created_at", as_of, p.window_s, upper_bound)
 
     dims: list[str] = []
-    first: list[Column] = []
-    merged: list[Column] = []
+    cells: list[str] = []
+    merged: list[str] = []
     if velocity:
-        inside = within(velocity)
+        w = inside(velocity)
         dims += ["type", "status"]
-        first += [
-            F.count_if(inside).alias("v_n"),
-            F.sum(F.when(inside, F.col("amount"))).alias("v_total"),
-            F.min(F.when(inside, F.col("created_at"))).alias("v_first"),
-            F.max(F.when(inside, F.col("created_at"))).alias("v_last"),
+        cells += [
+            f"count_if({w}) AS v_n",
+            f"sum(IF({w}, amount, NULL)) AS v_total",
+            f"min(IF({w}, created_at, NULL)) AS v_first",
+            f"max(IF({w}, created_at, NULL)) AS v_last",
         ]
-        cell = F.struct("type", "status", F.col("v_n").alias("n"))
         merged += [
-            F.sum("v_n").alias("v_n"),
-            exact_sum("v_total").alias("v_total"),
-            F.min("v_first").alias("v_first"),
-            F.max("v_last").alias("v_last"),
-            F.collect_list(F.when(F.col("v_n") > 0, cell)).alias("v_cells"),
+            "sum(v_n) AS v_n",
+            "CAST(sum(v_total) AS DOUBLE) AS v_total",
+            "min(v_first) AS v_first",
+            "max(v_last) AS v_last",
+            "collect_list(IF(v_n > 0, named_struct('type', type, 'status', status, 'n', v_n), NULL)) AS v_cells",
         ]
     if multi_currency:
-        inside = within(multi_currency)
+        w = inside(multi_currency)
         dims += ["currency"]
-        first += [
-            F.count_if(inside).alias("m_n"),
-            F.min(F.when(inside, F.col("created_at"))).alias("m_first"),
-            F.max(F.when(inside, F.col("created_at"))).alias("m_last"),
+        cells += [
+            f"count_if({w}) AS m_n",
+            f"min(IF({w}, created_at, NULL)) AS m_first",
+            f"max(IF({w}, created_at, NULL)) AS m_last",
         ]
         merged += [
-            F.sum("m_n").alias("m_n"),
-            F.min("m_first").alias("m_first"),
-            F.max("m_last").alias("m_last"),
-            F.collect_set(F.when(F.col("m_n") > 0, F.col("currency"))).alias("m_currencies"),
+            "sum(m_n) AS m_n",
+            "min(m_first) AS m_first",
+            "max(m_last) AS m_last",
+            "collect_set(IF(m_n > 0, currency, NULL)) AS m_currencies",
         ]
     if fail_spike:
-        inside = within(fail_spike)
-        first += [
-            F.count_if(inside).alias("f_n"),
-            F.count_if(inside & (F.col("status") == "failed")).alias("f_failed"),
-            F.max(F.when(inside, F.col("created_at"))).alias("f_last"),
+        w = inside(fail_spike)
+        cells += [
+            f"count_if({w}) AS f_n",
+            f"count_if({w} AND status = 'failed') AS f_failed",
+            f"max(IF({w}, created_at, NULL)) AS f_last",
         ]
-        merged += [F.sum("f_n").alias("f_n"), F.sum("f_failed").alias("f_failed"), F.max("f_last").alias("f_last")]
-    cells = recent.groupBy("account_id", *dims).agg(*first)
-    return cells.groupBy("account_id").agg(*merged)
+        merged += ["sum(f_n) AS f_n", "sum(f_failed) AS f_failed", "max(f_last) AS f_last"]
+    per_cell = recent.groupBy("account_id", *dims).agg(*map(F.expr, cells))
+    return per_cell.groupBy("account_id").agg(*map(F.expr, merged))
 
 
 def velocity_flags(activity: DataFrame, params: Velocity) -> DataFrame:
     """Flagged accounts with totals and counted transaction types and statuses."""
-    return activity.where((F.col("v_n") > params.max_count) | (F.col("v_total") > params.max_total)).select(
+    return activity.where(f"v_n > {params.max_count} OR v_total > {float(params.max_total)!r}D").selectExpr(
         "account_id",
-        F.col("v_n").alias("txn_count"),
-        F.col("v_total").alias("total_amount"),
-        F.col("v_first").alias("window_start"),
-        F.col("v_last").alias("window_end"),
-        seconds_between("v_first", "v_last").alias("window_seconds"),
-        count_by("v_cells", "type").alias("txn_types"),
-        count_by("v_cells", "status").alias("txn_statuses"),
+        "v_n AS txn_count",
+        "v_total AS total_amount",
+        "v_first AS window_start",
+        "v_last AS window_end",
+        "unix_timestamp(v_last) - unix_timestamp(v_first) AS window_seconds",
+        f"{counted_values('v_cells', 'type')} AS txn_types",
+        f"{counted_values('v_cells', 'status')} AS txn_statuses",
     )
 
 
 def multi_currency_flags(activity: DataFrame, params: MultiCurrency) -> DataFrame:
-    return activity.where(F.size("m_currencies") > params.max_currencies).select(
+    return activity.where(f"size(m_currencies) > {params.max_currencies}").selectExpr(
         "account_id",
-        F.array_sort("m_currencies").alias("currencies"),
-        F.size("m_currencies").alias("currency_count"),
-        F.col("m_n").alias("txn_count"),
-        F.col("m_first").alias("first_txn"),
-        F.col("m_last").alias("last_txn"),
+        "array_sort(m_currencies) AS currencies",
+        "size(m_currencies) AS currency_count",
+        "m_n AS txn_count",
+        "m_first AS first_txn",
+        "m_last AS last_txn",
     )
 
 
 def fail_spike_flags(activity: DataFrame, params: FailSpike) -> DataFrame:
-    rate = round_even(F.try_divide(F.col("f_failed"), F.col("f_n")) * 100, 1)
-    return (
-        activity.select(
-            "account_id",
-            F.col("f_failed").alias("failed_count"),
-            F.col("f_n").alias("total_count"),
-            rate.alias("fail_rate_pct"),
-        )
-        # the rate is rounded before it is compared
-        .where((F.col("failed_count") >= params.min_failed) & (F.col("fail_rate_pct") > params.max_rate_pct))
+    """Flagged accounts; the rate is rounded before it is compared."""
+    rated = activity.selectExpr(
+        "account_id",
+        "f_failed AS failed_count",
+        "f_n AS total_count",
+        "bround(try_divide(f_failed, f_n) * 100, 1) AS fail_rate_pct",
     )
+    return rated.where(f"failed_count >= {params.min_failed} AND fail_rate_pct > {float(params.max_rate_pct)!r}D")
 
 
 def rule_velocity(txns: DataFrame, as_of: Instant, params: Velocity = Velocity(), upper_bound: bool = True) -> DataFrame:
@@ -155,16 +147,15 @@ def rule_fail_spike(
 
 def account_baselines(txns: DataFrame, as_of: Instant, params: ZScore, upper_bound: bool = True) -> DataFrame:
     """Mean, population deviation and count per account over the baseline window."""
-    value = F.col("amount").cast("double")
     return (
         txns.where(trailing("created_at", as_of, params.baseline_s, upper_bound))
         .groupBy("account_id")
         .agg(
-            F.avg(value).alias("avg_amount"),
-            F.stddev_pop(value).alias("std_amount"),
-            F.count(F.lit(1)).alias("txn_count_30d"),
+            F.expr("avg(CAST(amount AS DOUBLE)) AS avg_amount"),
+            F.expr("stddev_pop(CAST(amount AS DOUBLE)) AS std_amount"),
+            F.expr("count(*) AS txn_count_30d"),
         )
-        .where(F.col("txn_count_30d") >= params.min_history)
+        .where(f"txn_count_30d >= {params.min_history}")
     )
 
 
@@ -178,32 +169,19 @@ def zscore_flags(txns: DataFrame, as_of: Instant, params: ZScore = ZScore(), upp
         "id", "account_id", "amount", "type", "merchant_id", "created_at"
     )
     joined = salted_join(recent, account_baselines(txns, as_of, params, upper_bound), "account_id", tie="id")
-    z = (F.col("amount").cast("double") - F.col("avg_amount")) / F.nullif(F.col("std_amount"), F.lit(0.0))
-    return joined.withColumn("z", z).where(F.abs("z") > params.max_abs_z)
+    scored = joined.selectExpr("*", "(CAST(amount AS DOUBLE) - avg_amount) / nullif(std_amount, 0) AS z")
+    return scored.where(f"abs(z) > {float(params.max_abs_z)!r}D")
 
 
 def rule_zscore(txns: DataFrame, as_of: Instant, params: ZScore = ZScore(), upper_bound: bool = True) -> DataFrame:
     """Transactions more than `max_abs_z` deviations from the account's mean."""
-    flags = zscore_flags(txns, as_of, params, upper_bound)
-    return flags.select(
-        "id",
-        "account_id",
-        "amount",
-        "type",
-        "merchant_id",
-        "created_at",
-        "avg_amount",
-        "std_amount",
-        "txn_count_30d",
-        round_even(F.col("z"), 2).alias("z_score"),
-    ).orderBy(F.abs("z_score").desc(), "id")
+    flags = zscore_flags(txns, as_of, params, upper_bound).selectExpr("* EXCEPT (z)", "bround(z, 2) AS z_score")
+    return flags.orderBy(F.expr("abs(z_score)").desc(), "id")
 
 
 def large_amount_flags(txns: DataFrame, as_of: Instant, params: LargeAmount, upper_bound: bool = True) -> DataFrame:
-    return txns.where(
-        (F.col("amount") > F.lit(params.max_amount).cast("decimal(18,2)"))
-        & trailing("created_at", as_of, params.window_s, upper_bound)
-    ).select("id", "account_id", "merchant_id", "amount", "currency", "type", "status", "created_at")
+    recent = trailing_sql("created_at", as_of, params.window_s, upper_bound)
+    return txns.where(f"amount > CAST({params.max_amount} AS DECIMAL(18,2)) AND {recent}").select("id", "account_id", "merchant_id", "amount", "currency", "type", "status", "created_at")
 
 
 def rule_large_amount(
@@ -215,9 +193,8 @@ def rule_large_amount(
 
 def risky_merchants(merchants: DataFrame, params: HighRisk) -> DataFrame:
     """Labelled merchants, deleted ones included: a deleted merchant still taints its payments."""
-    return merchants.where(F.col("risk_level") == params.risk_level).select(
-        F.col("id").alias("merchant_id"), F.col("name").alias("merchant_name"), "risk_level"
-    )
+    labelled = merchants.where(F.col("risk_level") == params.risk_level)
+    return labelled.selectExpr("id AS merchant_id", "name AS merchant_name", "risk_level")
 
 
 def high_risk_flags(
@@ -250,7 +227,7 @@ def rule_flags(
         return fail_spike_flags(activity, rules.fail_spike)
     if code == "ZSCORE":
         flags = zscore_flags(txns, as_of, rules.zscore, upper_bound)
-        return flags.withColumn("z_score", round_even(F.col("z"), 2)).drop("z")
+        return flags.selectExpr("* EXCEPT (z)", "bround(z, 2) AS z_score")
     if code == "LARGE_AMT":
         return large_amount_flags(txns, as_of, rules.large_amount, upper_bound)
     if code == "HIGH_RISK":

@@ -21,10 +21,8 @@ from ledgerline.schemas import (
 
 def wire_instant(text: Column) -> Column:
     """ISO text, or epoch milliseconds written as digits; NULL when empty or unreadable."""
-    filled = F.nullif(F.trim(text), F.lit(""))
-    return F.when(filled.rlike("^[0-9]{11,}$"), F.timestamp_millis(F.try_to_number(filled, F.lit("9" * 18)).cast("bigint"))).otherwise(
-        F.try_to_timestamp(filled)
-    )
+    millis = F.when(text.rlike("^[0-9]{11,}$"), F.timestamp_millis(text.try_cast("bigint")))
+    return F.coalesce(text.try_cast("timestamp"), millis)
 
 
 def type_rows(flat: DataFrame, table: TableSpec, truncate_seconds: bool = False) -> DataFrame:

@@ -65,14 +65,18 @@ def parse_flat(records: DataFrame, table: TableSpec, value: str = "value") -> Da
     `_offset` where the records have offsets.
     """
     schema = table.wire_schema().add(CORRUPT, T.StringType())
-    parsed = F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rows = records.where(F.col(value).isNotNull())
-    keep = [F.col("offset").alias("_offset")] if "offset" in records.columns else []
-    return rows.select(parsed.alias("m"), *keep).select("m.*", *keep_names(keep))
+    return exploded(records, schema, value)
 
 
-def keep_names(columns: list[Column]) -> list[str]:
-    return ["_offset"] if columns else []
+def exploded(records: DataFrame, schema: T.StructType, value: str) -> DataFrame:
+    """The fields of each JSON value as columns; records without a value are dropped.
+
+    `inline` parses every message once: a later filter on a field stays above it,
+    where through a plain projection it would be pushed down and parse again.
+    """
+    parsed = F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    keep = [F.col("offset").alias("_offset")] if "offset" in records.columns else []
+    return records.select(*keep, F.inline(F.when(F.col(value).isNotNull(), F.array(parsed))))
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -108,20 +112,19 @@ def unwrap_envelope(records: DataFrame, table: TableSpec, value: str = "value")
         ]
     )
     schema = T.StructType([*body.fields, T.StructField("payload", body), T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    keep = [F.col("offset").alias("_offset")] if "offset" in records.columns else []
-    rows = records.where(F.col(value).isNotNull()).select(parsed.alias("m"), *keep)
+    rows = exploded(records, schema, value)
+    keep = ["_offset"] if "_offset" in rows.columns else []
 
     def pick(name: str) -> Column:
-        return F.coalesce(F.col(f"m.payload.{name}"), F.col(f"m.{name}"))
+        return F.coalesce(F.col(f"payload.{name}"), F.col(name))
 
     flat = rows.select(
         pick("op").alias("__op"),
         pick("source.table").alias("__table"),
         pick("source.ts_ms").alias("__source_ts_ms"),
         F.when(pick("op") == "d", pick("before")).otherwise(pick("after")).alias("row"),
-        F.col(f"m.{CORRUPT}").alias(CORRUPT),
-        *keep_names(keep),
+        CORRUPT,
+        *keep,
     )
     return flat.select(
         "row.*",
@@ -130,7 +133,7 @@ def unwrap_envelope(records: DataFrame, table: TableSpec, value: str = "value")
         "__table",
         "__source_ts_ms",
         CORRUPT,
-        *keep_names(keep),
+        *keep,
     )
 
 

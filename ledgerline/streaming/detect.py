@@ -39,7 +39,7 @@ def stream_detect(
     writer = writer_name(checkpoint)
 
     def newest(batch: DataFrame):
-        return batch.agg(F.max("created_at").alias("t")).first()["t"]
+        return batch.agg(F.max("created_at").cast("string").alias("t")).first()["t"]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         at = (as_of or newest)(batch)

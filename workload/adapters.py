@@ -33,191 +33,155 @@ FEED_RULES = RuleSet(
 )
 
 # Instants in the files are UTC without a zone marker. Declaring the column as a plain
-# timestamp reads them as they are, so filters on it reach the parquet scan.
-EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
+# timestamp reads them as they are, so filters on it reach the parquet scan. Declared
+# schemas also save the look into the files that inferring them would take.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+        "o_orderpriority string"
+    ),
+}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    reader = spark.read.schema(EVENTS) if table == "events" else spark.read
-    return reader.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def out(df: DataFrame) -> DataFrame:
     """Result form for comparison: zone-free timestamps, amounts as doubles."""
-    cols = []
-    for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
+
+    def shown(field: T.StructField) -> str:
         if isinstance(field.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        elif isinstance(field.dataType, T.DecimalType):
-            c = c.cast("double")
-        cols.append(c.alias(field.name))
-    return df.select(*cols)
+            return f"CAST(`{field.name}` AS TIMESTAMP_NTZ) AS `{field.name}`"
+        if isinstance(field.dataType, T.DecimalType):
+            return f"CAST(`{field.name}` AS DOUBLE) AS `{field.name}`"
+        return f"`{field.name}`"
+
+    return df.selectExpr(*[shown(f) for f in df.schema.fields])
+
+
+CURRENCY = "CASE event_id % 7 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'JPY' ELSE 'VND' END"
+STATUS = (
+    "CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'flagged' WHEN 'view' THEN 'pending' "
+    "ELSE 'completed' END"
+)
+MERCHANT = "regexp_extract(props, '\"k\": ([0-9]+)', 1)"
+OPERATION = "CASE WHEN event_id % 10 = 9 THEN 'd' WHEN event_id % 3 = 0 THEN 'u' ELSE 'c' END"
 
 
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a transaction in its current state."""
-    e = read(spark, sf_dir, "events")
-    return e.select(
-        F.col("event_id").cast("string").alias("id"),
-        F.col("user_id").cast("string").alias("account_id"),
-        F.regexp_extract("props", '"k": ([0-9]+)', 1).alias("merchant_id"),
-        F.col("value").cast("decimal(18,2)").alias("amount"),
-        F.expr(
-            "CASE event_id % 7 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'JPY' ELSE 'VND' END"
-        ).alias("currency"),
-        F.col("event_type").alias("type"),
-        F.expr(
-            "CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'flagged' "
-            "WHEN 'view' THEN 'pending' ELSE 'completed' END"
-        ).alias("status"),
-        F.col("props").alias("description"),
-        F.lit(None).cast("string").alias("ip_address"),
-        F.lit(None).cast("string").alias("device_id"),
-        F.col("ts").alias("created_at"),
-        F.col("ts").alias("updated_at"),
-        F.lit("c").alias("cdc_op"),
-        F.unix_millis("ts").alias("_source_ts_ms"),
-        F.timestamp_micros(F.unix_micros("ts") + (F.col("event_id") % 5000) * 1000).alias("_ingested_at"),
+    return read(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS id",
+        "CAST(user_id AS STRING) AS account_id",
+        f"{MERCHANT} AS merchant_id",
+        "CAST(value AS DECIMAL(18,2)) AS amount",
+        f"{CURRENCY} AS currency",
+        "event_type AS type",
+        f"{STATUS} AS status",
+        "props AS description",
+        "CAST(NULL AS STRING) AS ip_address",
+        "CAST(NULL AS STRING) AS device_id",
+        "ts AS created_at",
+        "ts AS updated_at",
+        "'c' AS cdc_op",
+        "unix_millis(ts) AS _source_ts_ms",
+        "timestamp_micros(unix_micros(ts) + (event_id % 5000) * 1000) AS _ingested_at",
     )
 
 
 def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as versions of (account, type) rows: updates, deletes, offsets."""
-    e = txn(spark, sf_dir)
-    number = F.col("id").cast("bigint")
-    return (
-        e.withColumn("_offset", number)
-        .withColumn("cdc_op", F.when(number % 10 == 9, "d").when(number % 3 == 0, "u").otherwise("c"))
-        .withColumn("id", F.concat_ws("-", "account_id", "type"))
-        .withColumn("yyyymm", F.date_format("created_at", "yyyyMM").cast("int"))
+    return txn(spark, sf_dir).selectExpr(
+        "concat_ws('-', account_id, type) AS id",
+        "* EXCEPT (id, cdc_op)",
+        "CAST(id AS BIGINT) AS _offset",
+        "CASE WHEN CAST(id AS BIGINT) % 10 = 9 THEN 'd' WHEN CAST(id AS BIGINT) % 3 = 0 THEN 'u' ELSE 'c' END AS cdc_op",
+        "CAST(date_format(created_at, 'yyyyMM') AS INT) AS yyyymm",
     )
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("string").alias("id"),
-        F.col("s_name").alias("name"),
-        F.col("s_nationkey").cast("string").alias("category"),
-        F.expr("CASE WHEN s_acctbal < 1000 THEN 'high' WHEN s_acctbal < 5000 THEN 'medium' ELSE 'low' END").alias(
-            "risk_level"
-        ),
+    return read(spark, sf_dir, "supplier").selectExpr(
+        "CAST(s_suppkey AS STRING) AS id",
+        "s_name AS name",
+        "CAST(s_nationkey AS STRING) AS category",
+        "CASE WHEN s_acctbal < 1000 THEN 'high' WHEN s_acctbal < 5000 THEN 'medium' ELSE 'low' END AS risk_level",
     )
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers; every tenth is suspended and some share an e-mail address."""
-    return read(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("id"),
-        F.col("c_name").alias("full_name"),
-        F.expr(
-            "concat('c', CAST(CASE WHEN c_custkey % 50 = 1 THEN c_custkey - 1 ELSE c_custkey END AS STRING), '@example.com')"
-        ).alias("email"),
-        F.lit(None).cast("string").alias("phone"),
-        F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
-        F.lit("VND").alias("currency"),
-        F.expr("CASE WHEN c_custkey % 10 = 0 THEN 'suspended' ELSE 'active' END").alias("status"),
-        F.col("c_mktsegment").alias("category"),
-        F.timestamp_seconds(F.lit(1672531200) + F.col("c_custkey") * 60).alias("created_at"),
-        F.timestamp_seconds(F.lit(1672531200) + F.col("c_custkey") * 60).alias("updated_at"),
+    return read(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS id",
+        "c_name AS full_name",
+        "concat('c', CASE WHEN c_custkey % 50 = 1 THEN c_custkey - 1 ELSE c_custkey END, '@example.com') AS email",
+        "CAST(NULL AS STRING) AS phone",
+        "CAST(c_acctbal AS DECIMAL(18,2)) AS balance",
+        "'VND' AS currency",
+        "CASE WHEN c_custkey % 10 = 0 THEN 'suspended' ELSE 'active' END AS status",
+        "c_mktsegment AS category",
+        "timestamp_seconds(1672531200 + c_custkey * 60) AS created_at",
+        "timestamp_seconds(1672531200 + c_custkey * 60) AS updated_at",
     )
 
 
+EVIDENCE = """CASE o_orderkey % 6
+  WHEN 0 THEN concat('{"window_seconds":', o_orderkey % 300, ',"txn_types":[{"value":"purchase","n":2},{"value":"transfer","n":1}]}')
+  WHEN 1 THEN concat('{"txn_id":"txn-000', o_orderkey, '","currency":"VND","type":"transfer"}')
+  WHEN 2 THEN concat('{"currencies":["EUR","USD","VND"],"currency_count":', o_orderkey % 3 + 3, '}')
+  WHEN 3 THEN concat('{"z_score":', o_orderkey % 9 + 3, '.25,"avg_amount":', o_orderkey, '.5,"std_amount":12,"txn_count_30d":31}')
+  WHEN 4 THEN concat('{"merchant_name":"Supplier ', o_orderkey, '","risk_level":"high"}')
+  ELSE concat('unreadable evidence of case ', o_orderkey) END"""
+
+
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as earlier cases, spread over the 30 days before AS_OF."""
-    o = read(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    key = k.cast("string")
-    text = F.concat
-    evidence = (
-        F.when(
-            k % 6 == 0,
-            text(F.lit('{"window_seconds":'), (k % 300).cast("string"), F.lit(',"txn_types":[{"value":"purchase","n":2},{"value":"transfer","n":1}]}')),
-        )
-        .when(k % 6 == 1, text(F.lit('{"txn_id":"txn-000'), key, F.lit('","currency":"VND","type":"transfer"}')))
-        .when(k % 6 == 2, text(F.lit('{"currencies":["EUR","USD","VND"],"currency_count":'), (k % 3 + 3).cast("string"), F.lit("}")))
-        .when(
-            k % 6 == 3,
-            text(F.lit('{"z_score":'), (k % 9 + 3).cast("string"), F.lit('.25,"avg_amount":'), key, F.lit('.5,"std_amount":12,"txn_count_30d":31}')),
-        )
-        .when(k % 6 == 4, text(F.lit('{"merchant_name":"Supplier '), key, F.lit('","risk_level":"high"}')))
-        .otherwise(text(F.lit("unreadable evidence of case "), key))
-    )
-    return o.select(
-        key.alias("id"),
-        F.col("o_custkey").cast("string").alias("account_id"),
-        F.expr(
-            "CASE o_orderkey % 6 WHEN 0 THEN 'VELOCITY' WHEN 1 THEN 'LARGE_AMT' WHEN 2 THEN 'MULTI_CCY' "
-            "WHEN 3 THEN 'ZSCORE' WHEN 4 THEN 'HIGH_RISK' ELSE 'FAIL_SPIKE' END"
-        ).alias("rule_code"),
-        F.expr(
-            "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'critical' WHEN '2' THEN 'high' "
-            "WHEN '3' THEN 'medium' ELSE 'low' END"
-        ).alias("severity"),
-        (k % 20 + 1).cast("int").alias("txn_count"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("total_amount"),
-        evidence.alias("evidence"),
-        F.expr(
-            "CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'closed_fraud' ELSE 'closed_clean' END"
-        ).alias("status"),
-        F.lit(None).cast("string").alias("notes"),
-        F.timestamp_seconds(F.lit(1706659200) - (k * 7919) % 2592000).alias("created_at"),
-        F.lit(None).cast("timestamp").alias("resolved_at"),
+    return read(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS id",
+        "CAST(o_custkey AS STRING) AS account_id",
+        "CASE o_orderkey % 6 WHEN 0 THEN 'VELOCITY' WHEN 1 THEN 'LARGE_AMT' WHEN 2 THEN 'MULTI_CCY' "
+        "WHEN 3 THEN 'ZSCORE' WHEN 4 THEN 'HIGH_RISK' ELSE 'FAIL_SPIKE' END AS rule_code",
+        "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'critical' WHEN '2' THEN 'high' "
+        "WHEN '3' THEN 'medium' ELSE 'low' END AS severity",
+        "CAST(o_orderkey % 20 + 1 AS INT) AS txn_count",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount",
+        f"{EVIDENCE} AS evidence",
+        "CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'closed_fraud' ELSE 'closed_clean' END AS status",
+        "CAST(NULL AS STRING) AS notes",
+        "timestamp_seconds(1706659200 - (o_orderkey * 7919) % 2592000) AS created_at",
+        "CAST(NULL AS TIMESTAMP) AS resolved_at",
     )
 
 
+ISO = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
+
+
 def wire_records(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """Events as topic records with flat JSON change messages of the transactions table.
 
     Some creation times are empty or epoch milliseconds, every message has a field
     nobody declared, and with `broken` some are not JSON and some have no value.
     """
-    e = read(spark, sf_dir, "events")
-    k = F.col("event_id")
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    millis = F.unix_millis("ts").cast("string")
-    message = F.to_json(
-        F.struct(
-            k.cast("string").alias("id"),
-            F.col("user_id").cast("string").alias("account_id"),
-            F.regexp_extract("props", '"k": ([0-9]+)', 1).alias("merchant_id"),
-            F.col("value").cast("decimal(18,2)").cast("string").alias("amount"),
-            F.expr(
-                "CASE event_id % 7 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'JPY' ELSE 'VND' END"
-            ).alias("currency"),
-            F.col("event_type").alias("type"),
-            F.expr(
-                "CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'flagged' "
-                "WHEN 'view' THEN 'pending' ELSE 'completed' END"
-            ).alias("status"),
-            F.col("props").alias("description"),
-            F.lit("promo").alias("promo_code"),
-            F.when(k % 4 == 0, "").when(k % 5 == 0, millis).otherwise(iso).alias("created_at"),
-            iso.alias("updated_at"),
-            F.lit("false").alias("__deleted"),
-            F.expr("CASE WHEN event_id % 10 = 9 THEN 'd' WHEN event_id % 3 = 0 THEN 'u' ELSE 'c' END").alias("__op"),
-            F.lit("transactions").alias("__table"),
-            F.unix_millis("ts").alias("__source_ts_ms"),
-        )
-    )
-    value = F.when(k % 97 == 5, "{bad").when(k % 89 == 7, F.lit(None)).otherwise(message) if broken else message
-    return e.select(
-        F.lit("public.transactions").alias("topic"),
-        (k % 6).cast("int").alias("partition"),
-        F.floor(k / 6).cast("bigint").alias("offset"),
-        F.col("ts").alias("timestamp"),
-        k.cast("string").alias("key"),
-        value.alias("value"),
+    created = f"CASE WHEN event_id % 4 = 0 THEN '' WHEN event_id % 5 = 0 THEN CAST(unix_millis(ts) AS STRING) ELSE {ISO} END"
+    message = f"""to_json(named_struct('id', CAST(event_id AS STRING), 'account_id', CAST(user_id AS STRING),
+      'merchant_id', {MERCHANT}, 'amount', CAST(CAST(value AS DECIMAL(18,2)) AS STRING), 'currency', {CURRENCY},
+      'type', event_type, 'status', {STATUS}, 'description', props, 'promo_code', 'promo', 'created_at', {created},
+      'updated_at', {ISO}, '__deleted', 'false', '__op', {OPERATION}, '__table', 'transactions',
+      '__source_ts_ms', unix_millis(ts)))"""
+    if broken:
+        message = f"CASE WHEN event_id % 97 = 5 THEN '{{bad' WHEN event_id % 89 = 7 THEN NULL ELSE {message} END"
+    return read(spark, sf_dir, "events").selectExpr(
+        "'public.transactions' AS topic",
+        "CAST(event_id % 6 AS INT) AS partition",
+        "event_id div 6 AS offset",
+        "ts AS timestamp",
+        "CAST(event_id AS STRING) AS key",
+        f"{message} AS value",
     )
 
 
