@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ledgerline.schemas import TableSpec
 
 CORRUPT = "_corrupt_record"
+EMPTY = "(empty message)"
 MAX_CORRUPT = 10  # broken messages tolerated per block
 MAX_BLOCK_ROWS = 65_536
 
@@ -74,7 +75,9 @@ def exploded(records: DataFrame, schema: T.StructType, value: str) -> DataFrame:
     `inline` parses every message once: a later filter on a field stays above it,
     where through a plain projection it would be pushed down and parse again.
     """
-    parsed = F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # an empty text would parse to a row of NULLs; it is a broken message like any other
+    text = F.when(F.trim(value) == "", F.lit(EMPTY)).otherwise(F.col(value))
+    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     keep = [F.col("offset").alias("_offset")] if "offset" in records.columns else []
     return records.select(*keep, F.inline(F.when(F.col(value).isNotNull(), F.array(parsed))))
 
