@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.account import decide
 from ledgerline.schemas import DEBIT_TYPES
-from ledgerline.session import shared_dir
+from ledgerline.session import shared_dir, ship_package
 
 ORDER = ("account_id", "rank", "at", "id")
 DECIDED, PENDING, CLOSING, SUMMARY = "decided", "pending", "closing", "summary"
@@ -229,6 +229,7 @@ def apply_ledger(events: DataFrame, accounts: DataFrame, parts: int | None = Non
     at most two small rows per part.
     """
     spark = events.sparkSession
+    ship_package(spark)
     count = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
     timeline = (

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerline.functions.account import decide
 from ledgerline.operators.ledger import ledger_result
+from ledgerline.session import ship_package
 
 OUTPUT = (
     "account_id string, at timestamp, id string, kind string, type string, cents bigint, outcome string, "
@@ -48,6 +49,7 @@ def stream_ledger(timeline: DataFrame) -> DataFrame:
     holds within a micro-batch, so the batch size limit of the source bounds what
     one account can bring at once.
     """
+    ship_package(timeline.sparkSession)
     decided = timeline.groupBy("account_id").applyInPandasWithState(
         advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
     )
