@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -69,3 +71,17 @@ def consumer_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
 
 def total_lag(lag: DataFrame) -> DataFrame:
     return lag.groupBy("topic").agg(F.sum("lag").alias("total_lag"))
+
+
+def committed_offsets(spark: SparkSession, progress: dict) -> DataFrame:
+    """(topic, partition, offset) a streaming query has read, from its last progress report.
+
+    The report holds one number per topic partition.
+    """
+    rows = []
+    for source in progress.get("sources", []):
+        reached = source.get("endOffset") or {}
+        reached = json.loads(reached) if isinstance(reached, str) else reached
+        for topic, partitions in reached.items():
+            rows += [(topic, int(number), int(offset)) for number, offset in partitions.items()]
+    return spark.createDataFrame(rows, "topic string, partition int, offset bigint")

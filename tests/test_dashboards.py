@@ -127,6 +127,9 @@ def test_topics(spark):
     assert values(lag, "partition", "current", "lag") == [(0, 0, 5), (1, 0, 2)]
     assert values(lag.where("hint IS NOT NULL"), "partition") == [(1,)]
     assert K.total_lag(lag).first() == ("t", 7)
+    for end in ({"t": {"0": 3, "1": 2}}, '{"t": {"0": 3, "1": 2}}'):
+        reached = K.committed_offsets(spark, {"sources": [{"endOffset": end}]})
+        assert K.total_lag(K.consumer_lag(K.log_ends(records), reached)).first() == ("t", 2)
 
 
 def test_intents(spark):
