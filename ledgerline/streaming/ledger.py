@@ -1,17 +1,25 @@
-"""The balance ledger as a stateful stream keyed by account."""
+"""The balance ledger as a stream.
+
+Two forms: :func:`start_ledger` runs the batch ledger on every micro-batch and spreads
+hot accounts; :func:`stream_ledger` keeps the balances in keyed state, reacts faster, and
+has one account's events of a micro-batch in one task.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.utils import AnalysisException
 
 from ledgerline.functions.account import decide
-from ledgerline.operators.ledger import ledger_result
+from ledgerline.operators.ledger import apply_ledger, closing_balances, ledger_result
 from ledgerline.session import ship_package
+from ledgerline.streaming.ingest import FLUSH, start
 
 OUTPUT = (
     "account_id string, at timestamp, id string, kind string, type string, cents bigint, outcome string, "
@@ -60,3 +68,58 @@ def wire_timeline(records: DataFrame) -> DataFrame:
     """Timeline rows from JSON messages (rank, at, id, kind, type, cents, intent, account_id)."""
     schema = "account_id string, rank int, at timestamp, id string, kind string, type string, cents bigint, intent string"
     return records.select(F.from_json("value", schema).alias("m")).select("m.*")
+
+
+BALANCES = "id string, balance decimal(18,2), status string, batch_id bigint"
+
+
+def current_balances(spark: SparkSession, path: str, before_batch: int) -> DataFrame:
+    """Balance and status per account after the batches before `before_batch`."""
+    try:
+        log = spark.read.schema(BALANCES).parquet(path)
+    except AnalysisException as problem:
+        if "PATH_NOT_FOUND" not in str(problem):
+            raise
+        log = spark.createDataFrame([], BALANCES)
+    newest = log.where(F.col("batch_id") < before_batch).groupBy("id")
+    return newest.agg(F.expr("max_by(named_struct('balance', balance, 'status', status), batch_id) AS s")).select("id", "s.*")
+
+
+def start_ledger(
+    timeline: DataFrame,
+    decided_path: str,
+    balance_path: str,
+    checkpoint: str,
+    parts: int | None = None,
+    trigger: str | None = FLUSH,
+) -> StreamingQuery:
+    """The ledger batch by batch, with balances kept as an append-only log.
+
+    Each batch starts from the balances after the batches before it, decides its
+    events with :func:`apply_ledger`, which cuts a hot account into parts, and
+    writes its own folders, so a batch that is run again replaces its own results.
+    One query owns the two paths.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = current_balances(spark, balance_path, batch_id)
+        opened = batch.where("kind = 'open'").groupBy(F.col("account_id").alias("id")).agg(
+            F.expr("min_by(named_struct('cents', cents, 'status', type), cents) AS s")
+        )
+        fresh = opened.join(known, "id", "left_anti").selectExpr(
+            "id", "CAST(CAST(s.cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS balance", "s.status AS status"
+        )
+        accounts = known.unionByName(fresh)
+        events = batch.where("kind <> 'open'").selectExpr(
+            "account_id", "at", "id", "kind", "type", "CAST(CAST(cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS amount", "intent"
+        )
+        # only accounts with events take part in the fold
+        active = accounts.join(events.select(F.col("account_id").alias("id")).distinct(), "id", "left_semi")
+        decided = apply_ledger(events, active, parts)
+        decided.write.mode("overwrite").parquet(f"{decided_path}/batch_id={batch_id}")
+        stored = spark.read.parquet(f"{decided_path}/batch_id={batch_id}")
+        changed = closing_balances(stored, active).unionByName(fresh.join(active, "id", "left_anti"))
+        changed.write.mode("overwrite").parquet(f"{balance_path}/batch_id={batch_id}")
+
+    return start(timeline.writeStream.foreachBatch(write), checkpoint, trigger)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.account import decide
 from ledgerline.operators import ledger as B
 from ledgerline.streaming.ingest import start
-from ledgerline.streaming.ledger import stream_ledger, wire_timeline
+from ledgerline.streaming.ledger import current_balances, start_ledger, stream_ledger, wire_timeline
 
 EVENTS = "account_id string, t int, id string, kind string, type string, amount string, intent string"
 
@@ -146,3 +146,23 @@ def test_stream_equals_batch(spark, tmp_path):
     start(stream_ledger(wire_timeline(records)).writeStream.foreachBatch(write), str(tmp_path / "c"), None).awaitTermination()
     got = {r.id: tuple(r) for r in spark.read.parquet(f"{out}/*").select(*B.RESULT).collect()}
     assert got == batch
+
+    # the batch-by-batch form, first over the accounts and the earlier events, then over the rest
+    later = source / "2.json"
+    held = later.read_text()
+    later.rename(tmp_path / "held.json")
+    paths = [str(tmp_path / n) for n in ("decided", "balances", "ledger-checkpoint")]
+
+    def resume():
+        events_in = wire_timeline(spark.readStream.format("text").load(str(source)))
+        start_ledger(events_in, *paths, parts=5, trigger=None).awaitTermination()
+
+    resume()
+    (source / "3.json").write_text(held)
+    resume()
+    decided = spark.read.parquet(paths[0])
+    assert decided.select("batch_id").distinct().count() == 2
+    assert {r.id: tuple(r) for r in decided.select(*B.RESULT).collect()} == batch
+    balances = {r.id: r.balance for r in current_balances(spark, paths[1], 99).collect()}
+    whole = B.apply_ledger(events(spark, rows), accounts(spark, *opening), 5)
+    assert balances == {r.id: r.balance for r in B.closing_balances(whole, accounts(spark, *opening)).collect()}

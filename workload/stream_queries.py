@@ -21,7 +21,7 @@ from ledgerline.sources.changes import cdc_source, parse_flat
 from ledgerline.sources.logs import read_log, version_log_sink
 from ledgerline.streaming.detect import stream_detect, stream_rule_windows, tumbling_minutes
 from ledgerline.streaming.ingest import dedup_replays, start, stream_ingest
-from ledgerline.streaming.ledger import stream_ledger, wire_timeline
+from ledgerline.streaming.ledger import start_ledger, wire_timeline
 from ledgerline.streaming.state import read_state_table, start_state_table
 from workload import adapters as A
 from workload.adapters import AS_OF, RULES, out, with_views
@@ -176,13 +176,14 @@ def minutes(s, d):
 
 
 def streamed_ledger(s, d):
-    """The ledger as a keyed stream over JSON events."""
+    """The ledger over a stream of JSON events."""
     run = Run(s)
     timeline = B.ledger_timeline(A.ledger_events(s, d), A.ledger_accounts(s, d))
     precise = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     timeline.select(F.to_json(F.struct("*"), precise).alias("value")).write.text(run.path("in"))
     events = wire_timeline(s.readStream.format("text").load(run.path("in")))
-    return out(run.append(stream_ledger(events), "decided").drop("batch_id"))
+    run.finish(start_ledger(events, run.path("decided"), run.path("balances"), run.path("ledger-checkpoint"), trigger=None))
+    return out(s.read.parquet(run.path("decided")).drop("batch_id"))
 
 
 TYPED_LIST = ", ".join(TYPED_NAMES)
