@@ -19,16 +19,18 @@ VERSION = "_source_ts_ms"
 DELETE = "d"
 
 
-def newest_first(log: DataFrame, version: str = VERSION, tie: Sequence[str] | None = None) -> list[Column]:
-    """Order that makes the choice of the newest version unambiguous.
+def version_order(log: DataFrame, version: str = VERSION, tie: Sequence[str] | None = None) -> list[Column]:
+    """Columns whose order decides which version is newest, without ambiguity.
 
     Version first, then the position in the topic where known, then a hash of the
-    row, so that equal versions always resolve the same way.
+    row, so that equal versions always resolve the same way. With `tie` given,
+    those columns take the place of position and hash.
     """
-    ties = list(tie) if tie is not None else [c for c in ("_offset",) if c in log.columns]
-    order = [F.col(version).desc(), *[F.col(c).desc_nulls_last() for c in ties]]
+    if tie is not None:
+        return [F.col(version), *map(F.col, tie)]
+    position = [F.col(c) for c in ("_offset",) if c in log.columns]
     content = [c for c in log.columns if not c.startswith("_") and c not in ("yyyymm", "writer", "batch_id")]
-    return [*order, F.xxhash64(*content).desc()] if tie is None else order
+    return [F.col(version), *position, F.xxhash64(*content)]
 
 
 def latest_versions(
@@ -38,7 +40,7 @@ def latest_versions(
     tie: Sequence[str] | None = None,
 ) -> DataFrame:
     """Newest version per key, delete markers included."""
-    w = W.partitionBy(*key).orderBy(*newest_first(log, version, tie))
+    w = W.partitionBy(*key).orderBy(*[c.desc_nulls_last() for c in version_order(log, version, tie)])
     return log.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -84,14 +86,14 @@ def raw_vs_final_counts(
 ) -> DataFrame:
     """One row: stored versions and current rows, from one aggregate over the log.
 
-    Per key it needs only the number of versions and whether the newest is a
-    delete, so nothing but two small values per key is exchanged.
+    Per key it needs only the number of versions and the operation of the newest,
+    so nothing but a few small values per key and map task is exchanged.
     """
-    newest = F.max(F.struct(version, *(tie or []), F.col("cdc_op").alias("op")))
-    per_key = log.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), newest.alias("newest"))
+    newest = F.max_by("cdc_op", F.struct(*version_order(log, version, tie)))
+    per_key = log.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), newest.alias("op"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"),
-        F.count_if(F.col("newest.op") != DELETE).alias("final_rows"),
+        F.count_if(F.col("op") != DELETE).alias("final_rows"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.typing import type_rows
 from ledgerline.schemas import TableSpec
-from ledgerline.sources.changes import CORRUPT, MAX_CORRUPT, parse_flat, split_corrupt, unwrap_envelope
+from ledgerline.sources.changes import MAX_CORRUPT, parse_flat, split_corrupt, unwrap_envelope
 from ledgerline.sources.logs import append_versions, writer_name
 
 FLUSH = "500 milliseconds"
@@ -63,7 +63,6 @@ def stream_ingest(
         finally:
             batch.unpersist()
 
-    assert CORRUPT in parsed.columns
     return start(parsed.writeStream.foreachBatch(write), checkpoint, trigger)
 
 

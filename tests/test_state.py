@@ -56,6 +56,9 @@ def test_counts(spark):
     df = log(spark, ROWS)
     assert S.raw_vs_final_counts(df, tie=("_offset",)).first() == (9, 3)
     assert S.multi_version_ids(df).first() == (4, 4)
+    # equal versions without an offset: the counts follow the same choice as the state
+    tied = log(spark, [(k, i, op, 1, 0, "2024-01-01") for k in "pqrstuvw" for i, op in enumerate("cdudu")]).drop("_offset")
+    assert S.raw_vs_final_counts(tied).first() == (40, S.latest_state(tied).count())
     assert S.raw_vs_final_counts(df.limit(0), tie=("_offset",)).first() == (0, 0)
 
 

@@ -75,10 +75,6 @@ def stamp(col: str) -> str:
     return f"substr(strftime({col}, '%Y-%m-%d %H:%M:%S.%f'), 1, 23)"
 
 
-def jstr(col: str) -> str:
-    return f"coalesce('\"' || {col} || '\"', 'null')"
-
-
 PAYLOADS = f"""payloads AS (
   SELECT 'VELOCITY' AS rule_code, v.account_id, v.txn_count, CAST(v.total_amount AS DECIMAL(38,2)) AS total_amount,
          'high' AS severity,
@@ -226,9 +222,8 @@ QUERIES = {
     "rule_velocity": (
         velocity_rows,
         with_views(
-            "SELECT v.*, txn_types, txn_statuses FROM velocity v JOIN velocity_types USING (account_id) JOIN velocity_statuses USING (account_id)".replace(
-                "txn_types, txn_statuses", "velocity_types.txn_types, velocity_statuses.txn_statuses"
-            ),
+            "SELECT v.*, t.txn_types, s.txn_statuses FROM velocity v JOIN velocity_types t ON t.account_id = v.account_id "
+            "JOIN velocity_statuses s ON s.account_id = v.account_id",
             "txn",
             extra=ACCOUNT_FLAGS[:3],
         ),

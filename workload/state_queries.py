@@ -199,12 +199,12 @@ QUERIES = {
     "messages_to_velocity": (
         flagship,
         with_views(
-            "SELECT account_id, count(*) AS txn_count, sum(amount) AS total_amount, min(created_at) AS window_start, max(created_at) AS window_end "
+            "SELECT account_id, count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS total_amount, min(created_at) AS window_start, max(created_at) AS window_end "
             f"FROM typed WHERE cdc_op <> 'd' AND created_at >= {T} - INTERVAL 1 DAY AND created_at <= {T} "
             "GROUP BY account_id HAVING count(*) > 5 OR sum(amount) > 300",
             "txn",
             extra=(TYPED.replace("CAST(amount AS DOUBLE) AS amount", "amount"),),
-        ).replace("sum(amount) AS total_amount", "CAST(sum(amount) AS DOUBLE) AS total_amount"),
+        ),
     ),
     "split_corrupt": (
         split,
