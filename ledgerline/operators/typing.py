@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.skew import salted_join
 from ledgerline.schemas import (
     ACCOUNTS,
     AMOUNT,
@@ -104,6 +105,12 @@ def check_foreign_keys(rows: DataFrame, parents: DataFrame, column: str) -> Data
     return used.join(parents.select(F.col("id").alias(column)), column, "left_anti")
 
 
+def orphan_rows(rows: DataFrame, parents: DataFrame, column: str, tie: str = "id") -> DataFrame:
+    """The rows themselves whose `column` has no parent row; a missing parent many rows name is spread."""
+    missing = check_foreign_keys(rows, parents, column).select(column)
+    return salted_join(rows, missing, column, tie).select(*rows.columns)
+
+
 def apply_defaults(rows: DataFrame, table: TableSpec) -> DataFrame:
     """Fill missing values with the table's column defaults."""
     kinds = dict(rows.dtypes)

@@ -100,6 +100,8 @@ def test_defaults_email_and_parents(spark):
     assert values(filled, "id", "balance", "status") == [("1", Decimal("0.00"), "active"), ("2", Decimal("0.00"), "closed")]
     assert values(Y.check_unique_email(accounts), "email", "uses") == [("a@x", 2)]
     children = spark.createDataFrame([("1",), ("7",), ("7",), (None,)], "account_id string")
+    named = children.selectExpr("uuid() AS id", "account_id")
+    assert values(Y.orphan_rows(named, accounts, "account_id"), "account_id") == [("7",), ("7",)]
     assert values(Y.check_foreign_keys(children, accounts, "account_id"), "account_id", "rows") == [("7", 2)]
 
 

@@ -9,6 +9,7 @@ from ledgerline.functions.skew import heavy_keys, salted_join
 from ledgerline.functions.values import counts_text, spelled_out
 from ledgerline.operators import rule_views as V
 from ledgerline.operators import rules as R
+from ledgerline.operators.state import latest_state
 from ledgerline.params import FailSpike, MultiCurrency, RuleSet, Velocity, ZScore
 
 
@@ -72,6 +73,13 @@ def test_high_risk_join(spark):
     assert values(R.rule_high_risk(txns(spark, rows), merchants(spark), AS_OF), "id", "merchant_name") == [("1", "Night Casino")]
 
 
+def test_deleted_merchant_still_taints(spark):
+    log = merchants(spark).selectExpr("*", "IF(id = 'm9', 'd', 'c') AS cdc_op", "1L AS _source_ts_ms")
+    t = txns(spark, [(1, "a", 5, 5, {"merchant_id": "m9"})])
+    assert R.rule_high_risk(t, latest_state(log), AS_OF).count() == 0
+    assert R.rule_high_risk(t, latest_state(log, keep_deleted=True), AS_OF).count() == 1
+
+
 def test_multi_currency_boundary(spark):
     rows = [(f"{a}{c}", a, 1, 9, {"currency": c}) for a, n in (("two", 2), ("three", 3)) for c in ("VND", "USD", "EUR")[:n]]
     got = R.rule_multi_currency(txns(spark, rows), AS_OF).collect()

@@ -305,6 +305,26 @@ QUERIES = {
             "accounts",
         ),
     ),
+    "orphan_rows": (
+        lambda s, d: out(
+            Y.orphan_rows(A.txn(s, d), A.merchants(s, d), "merchant_id").select("id", "account_id", "merchant_id", "amount", "created_at")
+        ),
+        with_views(
+            "SELECT id, account_id, merchant_id, CAST(amount AS DOUBLE) AS amount, created_at FROM txn WHERE merchant_id NOT IN (SELECT id FROM merchants)",
+            "txn",
+            "merchants",
+        ),
+    ),
+    "orphan_alerts": (
+        lambda s, d: out(
+            Y.orphan_rows(A.alerts(s, d), A.accounts(s, d).where(F.col("status") == "active"), "account_id").select("id", "account_id", "rule_code")
+        ),
+        with_views(
+            "SELECT id, account_id, rule_code FROM alerts WHERE account_id NOT IN (SELECT id FROM accounts WHERE status = 'active')",
+            "alerts",
+            "accounts",
+        ),
+    ),
     "apply_defaults": (
         defaults,
         with_views(
