@@ -221,6 +221,14 @@ def known_openings(todo: dict[str, list], states: dict[str, tuple | None]) -> tu
     return ready, waiting
 
 
+SMALL_PART, LARGE_PART = 10_000, 2_000_000
+
+
+def part_count(rows: int, parallel: int) -> int:
+    """Parts for a number of events: the session's parallelism, but none tiny and none over LARGE_PART."""
+    return max(1, min(parallel, -(-rows // SMALL_PART)), -(-rows // LARGE_PART))
+
+
 def apply_ledger(events: DataFrame, accounts: DataFrame, parts: int | None = None) -> DataFrame:
     """Every event with its decision and the balance after it.
 
@@ -230,7 +238,7 @@ def apply_ledger(events: DataFrame, accounts: DataFrame, parts: int | None = Non
     """
     spark = events.sparkSession
     ship_package(spark)
-    count = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = parts or part_count(events.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     folder = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
     timeline = (
         ledger_timeline(events, accounts)

@@ -102,6 +102,10 @@ def test_hot_account_is_cut_into_parts(spark):
     assert sizes < 3000 / 12 * 2  # a third of all rows would be 1000
 
 
+def test_part_count():
+    assert [B.part_count(n, 200) for n in (0, 1, 10_000, 10_001, 10**6, 10**8, 10**12)] == [1, 1, 1, 2, 100, 200, 500_000]
+
+
 def test_known_openings_walks_the_summaries():
     def part(segment, net, need, commands=False):
         return {"segment": segment, "net": net, "need": need, "commands": commands}
