@@ -19,7 +19,7 @@ SPACE_BYTES = (0x20, *range(0x09, 0x0E))
 U64 = np.uint64
 _MIX1, _MIX2 = U64(0x9FB21C651E98DF25), U64(0xD6E8FEB86659FD93)
 _ROLL = U64(0x9E3779B97F4A7C15)
-_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 _LONG_WORD = 256
 
 
@@ -105,7 +105,7 @@ def span_hashes(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     out = size.astype(np.uint64) * _MIX2
     rest, at, left = None, starts, size
     while len(at):
-        value = loads[at] & _MASKS[np.minimum(left, 8)]
+        value = loads[at] & MASKS[np.minimum(left, 8)]
         mixed = ((out if rest is None else out[rest]) ^ value) * _MIX1
         mixed ^= mixed >> U64(29)
         if rest is None:
@@ -139,3 +139,10 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 def list_array(lengths: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+
+def open_folder(place: str):
+    """A file system that every executor reaches, and the path of `place` in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(place)

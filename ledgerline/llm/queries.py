@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import sql
 from ledgerline.llm.common import table
 from ledgerline.llm.decontaminate import find_leaks
+from ledgerline.llm.packing import pack
 from ledgerline.llm.simhash import near_duplicates
+from ledgerline.llm.training_order import materialise, read_shards
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +29,22 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "lpad(lower(hex(fp)), 16, '0') AS fingerprint", "component_id")
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each sequence, read back from the shards."""
+    shards = materialise(table(spark, sf_dir, "documents"), key=20240501)
+    return read_shards(shards).selectExpr(
+        "slot", "shard", "byte_offset", "doc_id", "doc_start", "n_tokens", "crc32(ids) AS ids_crc32"
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), derive=("crc32(ids) AS ids_crc32",))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_decontaminate": (op1_decontaminate, sql.OP1),
     "op2_simhash": (op2_simhash, None),
+    "op4_training_order": (op4_training_order, None),
+    "op9_packing": (op9_packing, None),
 }
