@@ -253,4 +253,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     firsts = roots.join(nodes, "fp").groupBy("root").agg(F.min("first").alias("least"))
     joined = roots.join(firsts, "root").select("fp", "least", F.lit(True).alias("linked"))
     of_node = nodes.join(joined, "fp", "left").selectExpr("fp AS node", "IF(linked, least, first) AS component_id")
+    of_node = checkpointed(of_node)
     return marked.join(of_node, marked["fp"] == of_node["node"]).select("doc_id", "fp", "component_id")
