@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import sql
 from ledgerline.llm.common import table
 from ledgerline.llm.decontaminate import find_leaks
+from ledgerline.llm.language import fit_languages, identify
 from ledgerline.llm.packing import pack
+from ledgerline.llm.quality import judge
 from ledgerline.llm.simhash import near_duplicates
 from ledgerline.llm.training_order import materialise, read_shards
 
@@ -37,6 +39,19 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1"
+    docs = table(spark, sf_dir, "documents").selectExpr("doc_id", "text", "lang", f"{held_out} AS held_out")
+    model = fit_languages(docs.where("NOT held_out").select("text", "lang"))
+    return identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_js", "word_js")
+    return judged.select("doc_id", *names)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), derive=("crc32(ids) AS ids_crc32",))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -46,5 +61,7 @@ QUERIES = {
     "op1_decontaminate": (op1_decontaminate, sql.OP1),
     "op2_simhash": (op2_simhash, None),
     "op4_training_order": (op4_training_order, None),
+    "op7_language": (op7_language, None),
+    "op8_quality": (op8_quality, None),
     "op9_packing": (op9_packing, None),
 }
