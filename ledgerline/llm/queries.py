@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm import sql
 from ledgerline.llm.common import table
@@ -10,8 +11,10 @@ from ledgerline.llm.decontaminate import find_leaks
 from ledgerline.llm.language import fit_languages, identify
 from ledgerline.llm.packing import pack
 from ledgerline.llm.quality import judge
+from ledgerline.llm.secrets import find_secrets, written
 from ledgerline.llm.simhash import near_duplicates
 from ledgerline.llm.training_order import materialise, read_shards
+from ledgerline.llm.warc import read_archives, roles, write_archives
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +42,19 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(roles(table(spark, sf_dir, "pages")))
+    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = "filter(secrets, s -> s.rank < 3)"
+    counts = [f"CAST(size(filter(secrets, s -> s.rank = {k})) AS BIGINT) AS {n}" for k, n in enumerate(("n_assign", "n_access", "n_hex"))]
+    digest = F.sha2(written(F.expr(base)), 256).alias("base_sha256")
+    return found.select("doc_id", *map(F.expr, counts), digest, written(F.col("secrets")).alias("spans"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1"
     docs = table(spark, sf_dir, "documents").selectExpr("doc_id", "text", "lang", f"{held_out} AS held_out")
@@ -61,6 +77,8 @@ QUERIES = {
     "op1_decontaminate": (op1_decontaminate, sql.OP1),
     "op2_simhash": (op2_simhash, None),
     "op4_training_order": (op4_training_order, None),
+    "op5_warc": (op5_warc, sql.OP5),
+    "op6_secrets": (op6_secrets, None),
     "op7_language": (op7_language, None),
     "op8_quality": (op8_quality, None),
     "op9_packing": (op9_packing, None),

@@ -24,3 +24,13 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hi
        coalesce(ids.h, sha256('')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
+
+OP5 = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+part AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM page),
+first AS (SELECT payload_digest, min(page_id) AS first FROM part WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM part LEFT JOIN first USING (payload_digest)
+"""
