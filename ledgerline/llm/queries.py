@@ -13,6 +13,8 @@ from ledgerline.llm.packing import pack
 from ledgerline.llm.quality import judge
 from ledgerline.llm.secrets import find_secrets, written
 from ledgerline.llm.simhash import near_duplicates
+from ledgerline.llm.substring import remove_later_copies
+from ledgerline.llm.suffix import remove_repeats
 from ledgerline.llm.training_order import materialise, read_shards
 from ledgerline.llm.warc import read_archives, roles, write_archives
 
@@ -34,6 +36,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "lpad(lower(hex(fp)), 16, '0') AS fingerprint", "component_id")
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.selectExpr("doc_id", "n_bytes", "n_removed", "CAST(size(spans) AS BIGINT) AS n_spans", "sha2(kept, 256) AS kept_sha256")
+
+
 def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each sequence, read back from the shards."""
     shards = materialise(table(spark, sf_dir, "documents"), key=20240501)
@@ -73,13 +80,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_later_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.selectExpr("doc_id", "n_words", "n_removed", "sha2(kept, 256) AS kept_sha256")
+
+
 QUERIES = {
     "op1_decontaminate": (op1_decontaminate, sql.OP1),
     "op2_simhash": (op2_simhash, None),
+    "op3_suffix_array": (op3_suffix_array, None),
     "op4_training_order": (op4_training_order, None),
     "op5_warc": (op5_warc, sql.OP5),
     "op6_secrets": (op6_secrets, None),
     "op7_language": (op7_language, None),
     "op8_quality": (op8_quality, None),
     "op9_packing": (op9_packing, None),
+    "op10_substring": (op10_substring, sql.OP10),
 }

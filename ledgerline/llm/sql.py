@@ -34,3 +34,21 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM part LEFT JOIN first USING (payload_digest)
 """
+
+OP10 = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+    SELECT doc_id, s, md5(array_to_string(list_slice(w, s, s + 49), ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS s FROM doc WHERE len(w) >= 50)),
+least AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h),
+late AS (SELECT DISTINCT doc_id, s FROM win JOIN least USING (h) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + 49)) AS k FROM late),
+kept AS (
+    SELECT p.doc_id, string_agg(p.x, ' ' ORDER BY p.k) AS kept
+    FROM (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS k FROM doc WHERE len(w) > 0) p
+    LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.k = p.k
+    WHERE gone.k IS NULL GROUP BY p.doc_id),
+number AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(number.n, 0) AS n_removed, sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id) LEFT JOIN number USING (doc_id)
+"""
