@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import append, arrow_pass, extended, without
+from ledgerline.llm.common import NOT_SPACE, Words, append, arrow_pass, extended, without
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_ROWS = 800  # labelled texts to learn from, spread evenly over the languages
@@ -19,7 +19,7 @@ SAMPLE_CHARS = 20_000  # only texts of at most this length are drawn for the sam
 ROUNDS = 3  # of expectation and maximisation
 SMOOTHING = 0.1
 UNKNOWN = 1e-6  # probability of a character outside the vocabulary
-CACHED_WORDS = 150_000
+CACHED_WORDS = 500_000  # 8 bytes, and 8 for each language
 SHORT = 40  # words up to this length are summed many at once; products of so many probabilities do not underflow
 AT_ONCE = 4096
 UND = "und"
@@ -49,8 +49,7 @@ class PieceModel:
         self.languages, self.pieces = languages, pieces
         self.probability = np.vstack([probability, np.full(len(languages), UNKNOWN)])
         self.longest = max(map(len, pieces), default=1)
-        self.known: dict[str, int] = {}
-        self.values = np.empty((0, len(languages)))
+        self.known, self.values = np.empty(0, dtype=np.uint64), np.empty((0, len(languages)))
 
     @classmethod
     def fit(cls, counts: dict[str, dict[str, int]], names: Iterable[str], rounds: int = ROUNDS, smoothing: float = SMOOTHING) -> PieceModel:
@@ -147,24 +146,38 @@ class PieceModel:
 
     def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The likeliest language of each whole text, and its probability among the languages."""
-        split = [t.lower().split() if t and self.languages and _LETTER.search(t) else None for t in texts]
-        new = {w for words in split if words for w in words}
-        fresh = new.difference(self.known)
-        if len(self.known) + len(fresh) > CACHED_WORDS:
-            self.known, self.values, fresh = {}, self.values[:0], new
-        fresh = list(fresh)
-        self.known.update(zip(fresh, range(len(self.values), len(self.values) + len(fresh))))
-        self.values = np.vstack([self.values, self.words(fresh)])
-        out = []
-        for words in split:
-            if not words:
-                out.append((UND, 0.0))
-                continue
-            total = self.values[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].sum(axis=0)
-            best = int(np.argmax(total))
-            out.append((self.languages[best], float(1 / np.exp(total - total[best]).sum())))
+        judged = [k for k, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
+        out = [(UND, 0.0)] * len(texts)
+        if judged:
+            found = Words([texts[k].lower().encode() for k in judged], NOT_SPACE)
+            logs = self._logs(found)
+            for k, lo, hi in zip(judged, found.bounds[:-1], found.bounds[1:]):
+                total = logs[lo:hi].sum(axis=0)
+                best = int(np.argmax(total))
+                out[k] = self.languages[best], float(1 / np.exp(total - total[best]).sum())
         return out
 
+    def _logs(self, found: Words) -> np.ndarray:
+        """Log probabilities of all words; those met before are looked up by their hash."""
+        import pandas as pd
+
+        code, distinct = pd.factorize(found.hashes())
+        first = np.empty(len(distinct), dtype=np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+        at = np.searchsorted(self.known, distinct)
+        values, new = np.empty((len(distinct), len(self.languages))), np.ones(len(distinct), dtype=bool)
+        if len(self.known):
+            near = np.minimum(at, len(self.known) - 1)
+            new = self.known[near] != distinct
+            values[~new] = self.values[near[~new]]
+        new = np.flatnonzero(new)
+        values[new] = self.words([found.word(k).decode() for k in first[new]])
+        if len(self.known) < CACHED_WORDS:
+            new = new[np.argsort(distinct[new])]
+            self.known = np.insert(self.known, at[new], distinct[new])
+            self.values = np.insert(self.values, at[new], values[new], axis=0)
+        return values[code]
+
     def __getstate__(self):
         return self.languages, self.pieces, self.probability[:-1]
 
