@@ -27,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def share(rows: int, wanted: int) -> int:
+    """Bound for a hash modulo 1,000,000,007 that lets about four times the wanted number of rows through."""
+    return min(1_000_000_007, 4 * wanted * 1_000_000_007 // max(rows, 1))
+
+
 def arrow_pass(rows: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """`mapInArrow` with batches bounded in bytes, for a step defined in this package."""
     spark = rows.sparkSession

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import NOT_SPACE, Words, append, arrow_pass, extended, without
+from ledgerline.llm.common import NOT_SPACE, Words, append, arrow_pass, extended, share, without
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_ROWS = 800  # labelled texts to learn from, spread evenly over the languages
@@ -24,6 +24,7 @@ SHORT = 40  # words up to this length are summed many at once; products of so ma
 AT_ONCE = 4096
 UND = "und"
 
+_ROLL = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = regex.compile(r"\p{L}")
 _MARK = "▁"  # begins the first piece of a word in the vocabulary
 
@@ -49,6 +50,13 @@ class PieceModel:
         self.languages, self.pieces = languages, pieces
         self.probability = np.vstack([probability, np.full(len(languages), UNKNOWN)])
         self.longest = max(map(len, pieces), default=1)
+        self.by_length = {}
+        for length in range(1, self.longest + 1):
+            own = [p for p in pieces if len(p) == length]
+            if own:
+                hashes = np.array([_piece_hash(p) for p in own], dtype=np.uint64)
+                order = np.argsort(hashes)
+                self.by_length[length] = hashes[order], np.array([pieces[p] for p in own])[order]
         self.known, self.values = np.empty(0, dtype=np.uint64), np.empty((0, len(languages)))
 
     @classmethod
@@ -74,18 +82,28 @@ class PieceModel:
         return model
 
     def _edges(self, marked: list[str]) -> np.ndarray:
-        """(end, word, begin, piece) of every piece in every word, sorted; the last number of a piece is an unknown character."""
-        out, get, longest, unknown = [], self.pieces.get, self.longest, len(self.pieces)
-        for k, word in enumerate(marked):
-            for end in range(1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
-                    piece = get(word[begin:end])
-                    if piece is not None:
-                        out.append((end, k, begin, piece))
-                    elif begin == end - 1:
-                        out.append((end, k, begin, unknown))
-        edges = np.array(out, dtype=np.int64).reshape(-1, 4)
-        return edges[np.argsort(edges[:, 0], kind="stable")]
+        """(end, word, begin, piece) of every piece in every word, by end and word; the last number of a piece is an unknown character.
+
+        Pieces are found by a rolling hash of all substrings of one length at a time.
+        """
+        signs = np.frombuffer("".join(marked).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+        size = np.array([len(w) for w in marked])
+        word = np.repeat(np.arange(len(marked)), size)
+        begin = np.arange(len(signs)) - np.repeat(np.cumsum(size) - size, size)
+        room, hashes, parts = size[word] - begin, np.zeros(len(signs), dtype=np.uint64), []
+        for length in range(1, min(self.longest, int(size.max())) + 1):
+            hashes = hashes[: len(signs) - length + 1] * _ROLL + signs[length - 1 :]
+            known, numbers = self.by_length.get(length, (np.zeros(1, np.uint64), np.zeros(1, np.int64)))
+            near = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            match = (known[near] == hashes) & (room[: len(hashes)] >= length)
+            piece = numbers[near]
+            if length == 1:
+                piece = np.where(match, piece, len(self.pieces))
+                match = np.ones(len(match), dtype=bool)
+            at = np.flatnonzero(match)
+            parts.append(np.stack([begin[at] + length, word[at], begin[at], piece[at]], axis=1))
+        edges = np.concatenate(parts)
+        return edges[np.argsort(edges[:, 0] * len(marked) + edges[:, 1], kind="stable")]
 
     def _forward(self, marked: list[str], edges: np.ndarray) -> np.ndarray:
         """Summed probability of each beginning of each word."""
@@ -185,6 +203,13 @@ class PieceModel:
         self.__init__(*state)
 
 
+def _piece_hash(piece: str) -> int:
+    out = 0
+    for sign in piece:
+        out = (out * int(_ROLL) + ord(sign)) % 2**64
+    return out
+
+
 def fit_languages(
     labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS, names: Iterable[str] | None = None
 ) -> PieceModel:
@@ -194,7 +219,10 @@ def fit_languages(
     `sample_rows` texts of at most `sample_chars` characters each.
     """
     rows = labelled.where(f"lang IS NOT NULL AND length(text) BETWEEN 1 AND {sample_chars}").selectExpr("lang", "text", "xxhash64(text) AS h")
-    ranked = rows.select("lang", "h").distinct().withColumn("turn", F.expr("row_number() OVER (PARTITION BY lang ORDER BY h)"))
+    counted = {r["lang"]: r["count"] for r in labelled.where("lang IS NOT NULL").groupBy("lang").count().collect()}
+    shares = F.create_map(*[F.lit(x) for lang, n in counted.items() for x in (lang, share(n, sample_rows))]) if counted else F.create_map()
+    few = rows.where(F.expr("pmod(h, 1000000007)") < F.try_element_at(shares, "lang")) if counted else rows
+    ranked = few.select("lang", "h").distinct().withColumn("turn", F.expr("row_number() OVER (PARTITION BY lang ORDER BY h)"))
     drawn = [r["h"] for r in ranked.where(f"turn <= {sample_rows}").orderBy("turn", "lang").limit(sample_rows).collect()]
     sample = rows.where(F.col("h").isin(drawn)).dropDuplicates(["lang", "h"])
     words = sample.selectExpr("lang", r"explode(split(lower(text), '\\s+')) AS word").where("word <> ''")

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import without
+from ledgerline.llm.common import share, without
 
 # fixed values: the patterns, in the order in which kinds are listed
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -73,7 +73,8 @@ def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, random_str
     From at most `sample_docs` different texts, drawn by hash.
     """
     texts = docs.selectExpr("text", "xxhash64(text) AS h").where("text IS NOT NULL")
-    drawn = [r["h"] for r in texts.select("h").distinct().orderBy("h").limit(sample_docs).collect()]
+    few = texts.where(F.expr("pmod(h, 1000000007)") < share(docs.count(), sample_docs))
+    drawn = [r["h"] for r in few.select("h").distinct().orderBy("h").limit(sample_docs).collect()]
     sample = texts.where(F.col("h").isin(drawn)).dropDuplicates(["h"]).select("text")
     pattern = F.lit(rf"{ASSIGN}|{ACCESS}|{HEX}")
     hits = sample.select(F.explode(F.regexp_extract_all("text", pattern, F.lit(0))).alias("hit"))
