@@ -19,7 +19,7 @@ from ledgerline.llm.common import MASKS, byte_class, span_hashes
 
 VOCABULARY = "byte_bpe_50k"
 BLOCK_BYTES = 2 << 20
-CACHED_WORDS = 1_000_000  # about 70 MB
+CACHED_WORDS = 400_000  # about 30 MB
 
 # White space other than these four, and letters and digits beyond the Latin ones, take the slow way.
 _PLAIN = re.compile("[^\t\n\r -~À-ÖØ-öø-ɏ]")
