@@ -6,7 +6,6 @@ import uuid
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -43,55 +42,86 @@ def feistel(numbers: np.ndarray, count: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, size: int = SIZE, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(part, n, doc_id, doc_start, n_tokens, ids): the texts of each partition in one stream, cut every `size` ids."""
+class _Stream:
+    """The texts of one partition as a stream of ids, each text followed by END, cut every `size` ids."""
 
-    def step(batches):
-        part, n = TaskContext.get().partitionId(), 0
-        rest, owners = np.empty(0, np.uint32), []  # owners: (place in rest, document, its ids before that place)
-        for batch in batches:
-            texts = encoder(vocabulary).encode(batch["text"].to_pylist())
+    def __init__(self, batches, size: int, vocabulary: str):
+        self.batches, self.size, self.vocabulary = batches, size, vocabulary
+        self.count, self.crc = 0, 0
+
+    def __iter__(self):
+        """(ids, owners): whole sequences, the last one perhaps short; owners are (place, document, its ids before that place)."""
+        rest, owners = np.empty(0, np.uint32), []
+        for batch in self.batches:
+            texts = encoder(self.vocabulary).encode(batch["text"].to_pylist())
             parts, at = [rest], len(rest)
             for doc, ids in zip(batch["doc_id"].to_pylist(), texts):
                 owners.append((at, doc, 0))
                 parts += [ids, np.array([END], np.uint32)]
                 at += len(ids) + 1
             rest = np.concatenate(parts)
-            cut = len(rest) // size * size
-            rows, owners = _cut(rest[:cut], size, owners, part, n)
-            n, rest = n + cut // size, rest[cut:]
-            yield rows
+            cut = len(rest) // self.size * self.size
+            yield self._counted(rest[:cut]), owners
+            owners = _after(owners, cut)
+            rest = rest[cut:]
         if len(rest):
-            yield _cut(rest, size, owners, part, n)[0]
+            yield self._counted(rest), owners
+
+    def _counted(self, ids: np.ndarray) -> np.ndarray:
+        self.count, self.crc = self.count + -(-len(ids) // self.size), zlib.crc32(ids.tobytes(), self.crc)
+        return ids
+
+
+def _after(owners: list, cut: int) -> list:
+    """The owners of what follows the first `cut` ids."""
+    first = max(k for k, (place, _, _) in enumerate(owners) if place <= cut) if owners else 0
+    return [(p - cut, doc, before) if p >= cut else (0, doc, before + cut - p) for p, doc, before in owners[first:]]
+
+
+def part_counts(docs: DataFrame, size: int = SIZE, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(part, count, crc): the number of sequences in each partition of docs, and a checksum of its ids."""
 
-    return arrow_pass(
-        docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text"),
-        step,
-        "part long, n long, doc_id long, doc_start long, n_tokens int, ids binary",
-    )
+    def step(batches):
+        stream = _Stream(batches, size, vocabulary)
+        for _ in stream:
+            pass
+        values = (TaskContext.get().partitionId(), stream.count, stream.crc)
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=["part", "count", "crc"])
+
+    return arrow_pass(docs, step, "part long, count long, crc long")
+
+
+def placed(docs: DataFrame, parts: dict[int, tuple[int, int, int]], total: int, key: int, size: int, shard_sequences: int, vocabulary: str) -> DataFrame:
+    """(shard, slot, doc_id, doc_start, n_tokens, ids) of all sequences; parts: part -> (first number, count, crc)."""
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
 
+    def step(batches):
+        first, count, crc = shared.value[TaskContext.get().partitionId()]
+        stream, done = _Stream(batches, size, vocabulary), 0
+        for ids, owners in stream:
+            slots = feistel(np.arange(first + done, first + stream.count), total, key)
+            done = stream.count
+            yield _cut(ids, size, owners, slots, shard_sequences)
+        if (stream.count, stream.crc) != (count, crc):
+            raise ValueError("the documents were dealt out differently when they were counted; store them as a table first")
+
+    return arrow_pass(docs, step, "shard long, slot long, doc_id long, doc_start long, n_tokens int, ids binary")
 
-def _cut(ids: np.ndarray, size: int, owners: list, part: int, n: int):
-    """Sequences of a stream, and the owners of what follows it."""
+
+def _cut(ids: np.ndarray, size: int, owners: list, slots: np.ndarray, shard_sequences: int) -> pa.RecordBatch:
     starts = np.arange(0, len(ids), size)
     places = np.array([o[0] for o in owners], dtype=np.int64)
     own = np.searchsorted(places, starts, side="right") - 1
     narrow = ids.astype("<u2")
-    rows = pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(len(starts), part)),
-            pa.array(np.arange(n, n + len(starts))),
-            pa.array([owners[k][1] for k in own], pa.int64()),
-            pa.array([owners[k][2] + int(s) - owners[k][0] for k, s in zip(own, starts)], pa.int64()),
-            pa.array(np.minimum(size, len(ids) - starts).astype(np.int32)),
-            pa.array([narrow[s : s + size].tobytes() for s in starts], pa.binary()),
-        ],
-        names=["part", "n", "doc_id", "doc_start", "n_tokens", "ids"],
-    )
-    end = len(ids)
-    later = int(np.searchsorted(places, end, side="right")) - 1
-    kept = [(p - end, doc, before) if p >= end else (0, doc, before + end - p) for p, doc, before in owners[max(later, 0) :]]
-    return rows, kept
+    columns = [
+        pa.array(slots // shard_sequences),
+        pa.array(slots),
+        pa.array([owners[k][1] for k in own], pa.int64()),
+        pa.array([owners[k][2] + int(s) - owners[k][0] for k, s in zip(own, starts)], pa.int64()),
+        pa.array(np.minimum(size, len(ids) - starts).astype(np.int32)),
+        pa.array([narrow[s : s + size].tobytes() for s in starts], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["shard", "slot", "doc_id", "doc_start", "n_tokens", "ids"])
 
 
 def materialise(
@@ -103,25 +133,27 @@ def materialise(
     in their order, goes to slot feistel(i); shard s holds slots s * shard_sequences onwards, record after record
     of one length, so slot k is found by arithmetic alone. Needs ids below 65536.
 
+    The texts are made into ids twice, to count the sequences and to place them, which costs less than keeping the
+    ids meanwhile. Both passes must see the same partitions in the same order, as a stored table gives them; each
+    partition's count and checksum are compared, and the job stops if they differ.
+
     A null text is empty (END alone), a null doc_id is kept as such, repeated rows are written each,
     an empty table gives no shard; other columns are left out. A shard is written under another name
     and moved into place, so a repeated task changes nothing.
     """
     spark = docs.sparkSession
-    rows = checkpointed(sequences(docs, size, vocabulary))
-    # the running sum is the number of the part's first sequence
-    parts = rows.groupBy("part").agg(F.count("*").alias("c")).selectExpr("part", "c", "sum(c) OVER (ORDER BY part) - c AS before")
-    parts = checkpointed(parts)
-    total = parts.agg(F.sum("c")).first()[0] or 0
-
-    @F.pandas_udf("long")
-    def slot(numbers: pd.Series) -> pd.Series:
-        return pd.Series(feistel(numbers.to_numpy(), total, key))
-
-    # the parts are one short row for each task, hence small enough to broadcast
-    placed = rows.join(F.broadcast(parts), "part").withColumn("slot", slot(F.expr("before + n"))).drop("part", "n", "c", "before")
-    placed = placed.withColumn("shard", F.expr(f"slot div {shard_sequences}"))
-    ordered = placed.repartitionByRange("shard").sortWithinPartitions("slot")
+    docs = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
+    # three numbers for each task, whatever the size of the tables
+    counted = sorted(part_counts(docs, size, vocabulary).collect())
+    parts, total = {}, 0
+    for part, count, crc in counted:
+        parts[part] = total, count, crc
+        total += count
+    rows = placed(docs, parts, total, key, size, shard_sequences, vocabulary)
+    # slots are dense, so ranges of equal width are of equal size and need no sampling
+    shards = -(-total // shard_sequences)
+    tasks = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    ordered = rows.repartitionById(tasks, F.expr(f"CAST(shard * {tasks} div {max(shards, 1)} AS INT)")).sortWithinPartitions("slot")
     folder = folder or f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
     return checkpointed(arrow_pass(ordered, _write(folder, size), "shard long, path string, first_slot long, n_sequences long, bytes long, crc32 long"))
 
