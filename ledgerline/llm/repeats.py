@@ -9,6 +9,9 @@ windows around equal anchors. An anchor and all windows it stands for form a con
 3. Fetch the bytes of one context each, where a gram has different ones, and compare them within the gram.
 4. A gram with more than HOT different contexts is not compared in one task: each of its windows
    becomes a row, and equal ones are counted with map-side combining.
+
+What a step leaves is stored in the shared folder, and what it shuffled is let go, so a lost
+executor costs one step and the disk holds about one copy of the texts at a time.
 """
 
 from __future__ import annotations
@@ -147,14 +150,13 @@ def _members(rows: DataFrame, search: Search, kind: str) -> DataFrame:
     return arrow_pass(rows.selectExpr("_k1", "_k2", "doc_id AS doc", "text"), step, schema)
 
 
-def _fetched(rows: DataFrame, wanted: DataFrame, search: Search, kind: str, each_window: bool) -> DataFrame:
-    """The bytes of contexts, or of each of their windows as a hash."""
-    lists = wanted.groupBy("k1", "k2").agg(F.expr("collect_list(struct(kh, c, least, place)) AS wanted"))
+def _fetched(rows: DataFrame, wanted: DataFrame, search: Search, kind: str) -> DataFrame:
+    """The bytes of the wanted contexts."""
+    lists = wanted.groupBy("k1", "k2").agg(F.expr("collect_list(struct(kh, c, least, place, hot)) AS wanted"))
     joined = rows.join(lists, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2"))).select("text", "wanted")
+    names = ["kh", "c", "least", "place", "hot"]
 
     def step(batches):
-        import xxhash
-
         for batch in batches:
             units = search.units([t or b"" for t in as_bytes(batch["text"])], search.gram)
             lists = batch["wanted"]
@@ -162,60 +164,80 @@ def _fetched(rows: DataFrame, wanted: DataFrame, search: Search, kind: str, each
             places = flat.field("place").to_numpy()
             owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
             first, count = (places >> 16) + units.bounds[owner], places >> 8 & 255
-            columns = {c: flat.field(c) for c in ("kh", "c", "least", "place")}
-            if not each_window:
-                for lo in range(0, len(first), 4096):
-                    part = slice(lo, lo + 4096)
-                    contexts = units.slices(first[part], first[part] + count[part] - 1 + search.length)
-                    out = [*(v[part] for v in columns.values()), pa.array(contexts, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(out, names=[*columns, "context"])
-                continue
-            for lo in range(0, len(first), 512):
-                part = slice(lo, lo + 512)
-                row = np.repeat(np.arange(lo, lo + len(first[part])), count[part])
-                at = np.arange(len(row)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
-                windows = units.slices(first[row] + at, first[row] + at + search.length)
+            columns = [flat.field(c) for c in names]
+            for lo in range(0, len(first), 4096):
+                part = slice(lo, lo + 4096)
+                contexts = units.slices(first[part], first[part] + count[part] - 1 + search.length)
+                yield pa.RecordBatch.from_arrays([*(v[part] for v in columns), pa.array(contexts, pa.binary())], names=[*names, "context"])
+
+    return arrow_pass(joined, step, f"kh long, c long, least {kind}, place long, hot boolean, context binary")
+
+
+def _each_window(contexts: DataFrame, search: Search, kind: str) -> DataFrame:
+    """A row for every window of the contexts, with its hash."""
+
+    def step(batches):
+        import xxhash
+
+        for batch in batches:
+            units = search.units(as_bytes(batch["context"]), search.gram)
+            count = batch["place"].to_numpy() >> 8 & 255
+            for lo in range(0, len(count), 512):
+                row = np.repeat(np.arange(lo, lo + len(count[lo : lo + 512])), count[lo : lo + 512])
+                at = np.arange(len(row)) - np.repeat(np.cumsum(count[lo : lo + 512]) - count[lo : lo + 512], count[lo : lo + 512])
+                windows = units.slices(units.bounds[row] + at, units.bounds[row] + at + search.length)
                 digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for w in windows), dtype="<i8").reshape(-1, 2)
-                out = [v.take(pa.array(row)) for v in columns.values()]
+                out = [batch[c].take(pa.array(row)) for c in ("kh", "c", "least")]
                 out += [pa.array(at), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy())]
-                yield pa.RecordBatch.from_arrays(out, names=[*columns, "at", "w1", "w2"])
+                yield pa.RecordBatch.from_arrays(out, names=["kh", "c", "least", "at", "w1", "w2"])
 
-    schema = f"kh long, c long, least {kind}, place long, "
-    return arrow_pass(joined, step, schema + ("at long, w1 long, w2 long" if each_window else "context binary"))
+    return arrow_pass(contexts.select("kh", "c", "least", "place", "context"), step, f"kh long, c long, least {kind}, at long, w1 long, w2 long")
 
 
 def repeated_windows(rows: DataFrame, search: Search) -> DataFrame:
-    """(k1, k2, runs) of keyed rows that have repeated windows; runs are (start, n): n windows from one on."""
+    """(k1, k2, runs) of keyed rows that have repeated windows; runs are (start, n): n windows from one on.
+
+    The smaller side of each join is stored first, so that both sides come straight from an
+    exchange and adaptive execution can split a gram or context with very many rows.
+    """
     spark = rows.sparkSession
     kind = rows.schema["doc_id"].dataType.simpleString()
     every = _members(rows, search, kind)
-    often = every.groupBy("kh").agg(F.count("*").alias("times")).where("times > 1").select("kh")
+    often = checkpointed(every.groupBy("kh").agg(F.count("*").alias("times")).where("times > 1").select("kh"))
     members = checkpointed(every.join(often, "kh"))
+    del every, often
     release(spark)
     contexts = members.groupBy("kh", "c").agg(
         F.expr("count(*) AS n"), F.expr("min(doc) AS least"), F.expr("min(struct(k1, k2, place)) AS one")
     )
     contexts = checkpointed(contexts)
-    variants = contexts.groupBy("kh").agg(F.expr("count(*) AS variants")).where("variants > 1")
-    wanted = checkpointed(contexts.join(variants, "kh").select("kh", "c", "least", "one.*", "variants"))
+    variants = checkpointed(contexts.groupBy("kh").agg(F.expr(f"count(*) > {search.hot} AS hot"), F.expr("count(*) AS v")).where("v > 1").drop("v"))
+    wanted = contexts.join(variants, "kh").select("kh", "c", "least", "one.*", "hot")
+    fetched = checkpointed(_fetched(rows, wanted, search, kind))
+    del wanted, variants
     release(spark)
-    usual = _fetched(rows, wanted.where(f"variants <= {search.hot}"), search, kind, False)
-    dealt = usual.repartition("kh").sortWithinPartitions("kh")
+    dealt = fetched.where("NOT hot").repartition("kh").sortWithinPartitions("kh")
     marked = arrow_pass(dealt, search.compare, "kh long, c long, ranges array<long>")
-    hot = wanted.where(f"variants > {search.hot}")
+    hot = fetched.where("hot")
     if not hot.isEmpty():
-        windows = _fetched(rows, hot, search, kind, True)
-        found = windows.groupBy("w1", "w2").agg(F.expr("count(*) AS found"), F.expr("min(least) AS least_found")).where("found > 1")
+        windows = _each_window(hot, search, kind)
+        found = checkpointed(windows.groupBy("w1", "w2").agg(F.expr("count(*) AS found"), F.expr("min(least) AS least_found")).where("found > 1"))
         again = windows.join(found, ["w1", "w2"]).where(search.shared)
         marked = marked.unionAll(again.groupBy("kh", "c").agg(F.expr("collect_list(shiftleft(at, 16) + 1) AS ranges")))
+        del windows, found, again
     marked = checkpointed(marked)
+    del fetched, dealt, hot
     release(spark)
-    verdicts = contexts.join(marked, ["kh", "c"], "left").select("kh", "c", "n", "least", "ranges")
+    verdicts = checkpointed(contexts.join(marked, ["kh", "c"], "left").select("kh", "c", "n", "least", "ranges"))
+    del contexts, marked
     start, count = "shiftright(place, 16)", "(shiftright(place, 8) & 255)"
     all_of_them = f"array(named_struct('start', {start}, 'n', {count}))"
     some = f"transform(ranges, r -> named_struct('start', {start} + shiftright(r, 16), 'n', r & 65535))"
     parts = members.join(verdicts, ["kh", "c"]).selectExpr("k1", "k2", f"inline(CASE WHEN {search.whole} THEN {all_of_them} ELSE {some} END)")
-    return checkpointed(parts.groupBy("k1", "k2").agg(F.expr("collect_list(struct(start, n)) AS runs")))
+    runs = checkpointed(parts.groupBy("k1", "k2").agg(F.expr("collect_list(struct(start, n)) AS runs")))
+    del members, verdicts, parts
+    release(spark)
+    return runs
 
 
 def covered(size: int, runs: list[dict] | None, length: int) -> np.ndarray:

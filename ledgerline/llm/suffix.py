@@ -20,14 +20,14 @@ OUTSIDE = 0xFF  # never occurs in UTF-8
 def column_order(symbols: np.ndarray, length: int) -> np.ndarray:
     """Which strings share `length` symbols from a column on with another string, for each column.
 
-    `symbols` has a row for each column and an entry for each string. Columns are inserted from the last to the first,
+    `symbols` has a row for each column and an entry for each string; OUTSIDE matches nothing. Columns are inserted from the last to the first,
     one symbol for each string in a round. The rows of the collection's Burrows-Wheeler transform
     that belong to the current column are the symbols about to be inserted, in the order of the suffixes
     behind them; sorting them stably by symbol gives the order of the longer suffixes, and a common prefix grows
     by one, from the smallest prefix between the two places in the previous round.
     """
     columns, count = symbols.shape
-    shared = np.zeros((columns, count), dtype=bool)
+    shared = np.zeros((columns - length + 1, count), dtype=bool)
     order = np.arange(count)
     common = np.zeros(count, dtype=np.uint8)  # with the string before, at most `length`
     levels = max(1, int(count).bit_length())
@@ -51,9 +51,10 @@ def column_order(symbols: np.ndarray, length: int) -> np.ndarray:
         least = np.minimum(table[level, before + 1], table[level, here - (1 << level) + 1])
         common = np.zeros(count, dtype=np.uint8)
         common[same + 1] = np.minimum(least, length - 1) + 1
-        long = np.flatnonzero(common >= length)
-        shared[column, order[long]] = True
-        shared[column, order[long - 1]] = True
+        if column < len(shared):
+            long = np.flatnonzero(common >= length)
+            shared[column, order[long]] = True
+            shared[column, order[long - 1]] = True
     return shared
 
 
@@ -69,7 +70,7 @@ def _compare(length: int, gram: int):
             for k, (at, context) in enumerate(zip(first.tolist(), contexts)):
                 symbols[k, at : at + len(context)] = np.frombuffer(context, dtype=np.uint8)
             shared = column_order(np.ascontiguousarray(symbols.T), length)
-            yield ranges_of(rows, shared[: before_most + 1].T, first)
+            yield ranges_of(rows, shared.T, first)
 
     return step
 
