@@ -5,14 +5,16 @@ Money is in whole cents. An account is (balance, status), or None when unknown.
 
 from __future__ import annotations
 
-from ledgerline.schemas import DEBIT_TYPES
+from ledgerline.schemas import DEBIT_TYPES, TXN_TYPES
 
 # ---- fixed values: texts recorded with a decision, largest top-up ----
 INSUFFICIENT = "insufficient funds"
 NOT_FOUND = "account not found"
+UNREADABLE = "unreadable amount, kind or type"
 MAX_TOPUP_CENTS = 10_000_000_000 * 100
 # ----------------------------------------------------------------------
 
+KINDS = ("txn", "topup", "suspend", "reactivate")
 COMPLETED, REJECTED, SHORT, MISSING, DECLINED, INVALID, CONFLICT = "C", "R", "I", "M", "F", "V", "X"
 
 
@@ -20,8 +22,11 @@ def decide(account, kind, txn_type, cents, intent):
     """(account afterwards, outcome, recorded, status, reason) for one event.
 
     Kinds: `open` (the account as it stands), `txn`, `topup`, `suspend`, `reactivate`.
-    Only transactions leave a row when refused; a reason replaces the description.
+    Only transactions leave a row when refused; a reason replaces the description. An
+    event without a readable amount, or of an unknown kind or type, changes nothing.
     """
+    if kind not in KINDS or (kind == "txn" and (cents is None or txn_type not in TXN_TYPES)):
+        return account, INVALID, False, None, UNREADABLE
     if kind == "txn":
         if account is None:
             return account, MISSING, False, None, NOT_FOUND

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.functions.timing import Instant, before, instant, instant_sql, stamp_sql, trailing
@@ -12,7 +13,8 @@ from ledgerline.params import DEDUP_WINDOW_S, DEDUP_WINDOW_UNKNOWN_S, RuleSet
 from ledgerline.schemas import RULE_CODES, SEVERITIES
 
 # ---- fixed values: list limits ----
-LIST_DEFAULT, LIST_MAX = 500, 2000
+LIST_DEFAULT = 500
+FIRINGS = 100  # shown of one account
 RAW_TEXT_LENGTH, SHORT_ID_LENGTH = 120, 8
 # -----------------------------------
 
@@ -217,11 +219,12 @@ def alert_list(
     accounts: DataFrame,
     rule: str | None = None,
     severity: str | None = None,
-    limit: int = LIST_DEFAULT,
+    limit: int | None = LIST_DEFAULT,
 ) -> DataFrame:
     """Newest cases with the account name, optionally of one rule or severity.
 
-    The newest rows are taken before the accounts are joined.
+    The newest rows are taken before the accounts are joined; `limit=None` lists all cases,
+    as the grouped forms need.
     """
     if rule and rule not in RULE_CODES:
         raise ValueError(f"invalid rule: {rule}")
@@ -232,7 +235,9 @@ def alert_list(
         rows = rows.where(F.col("rule_code") == rule)
     if severity:
         rows = rows.where(F.col("severity") == severity)
-    newest = rows.orderBy(F.desc("created_at"), "id").limit(min(max(int(limit), 1), LIST_MAX))
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be 1 or more")
+    newest = rows if limit is None else rows.orderBy(F.desc("created_at"), "id").limit(limit)
     names = accounts.select(F.col("id").alias("account_id"), F.col("full_name").alias("account_name"))
     return newest.join(names, "account_id", "left").select(
         "id",
@@ -248,8 +253,12 @@ def alert_list(
     )
 
 
-def alert_groups(listed: DataFrame) -> DataFrame:
-    """A case list grouped per account, newest account first; firings newest first."""
+def alert_groups(listed: DataFrame, firings: int = FIRINGS) -> DataFrame:
+    """Cases grouped per account, newest account first.
+
+    Totals count all cases given; of the cases themselves the newest `firings` of each account are
+    shown, newest first, so that no account's list outgrows a row.
+    """
     firing = F.struct(
         F.unix_micros("created_at").alias("at"),
         "id",
@@ -261,13 +270,16 @@ def alert_groups(listed: DataFrame) -> DataFrame:
         "status",
         "created_at",
     )
-    grouped = listed.groupBy("account_id").agg(
+    totals = listed.groupBy("account_id").agg(
         F.max("account_name").alias("account_name"),
         F.max("created_at").alias("last_seen"),
         F.count(F.lit(1)).alias("total_firings"),
-        # at most LIST_MAX firings: the list is limited before it is grouped
-        F.sort_array(F.collect_list(firing), asc=False).alias("firings"),
     )
+    # row_number keeps the newest of each map task before the exchange
+    turn = F.row_number().over(W.partitionBy("account_id").orderBy(F.desc("created_at"), F.desc("id")))
+    shown = listed.withColumn("_turn", turn).where(F.col("_turn") <= firings).groupBy("account_id")
+    shown = shown.agg(F.sort_array(F.collect_list(firing), asc=False).alias("firings"))
+    grouped = totals.join(shown, "account_id")
     return grouped.orderBy(F.desc("last_seen"), "account_id")
 
 

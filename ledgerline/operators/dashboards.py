@@ -170,12 +170,15 @@ def health_summary(
     """One row: mean and p95 delay, current rate, rows created today, sample size.
 
     One scan serves both the recent sample and the day's total; the day is that
-    of `as_of` in time zone `tz`.
+    of `as_of` in time zone `tz`, as two instants that reach the scan.
     """
     day = F.to_date(F.from_utc_timestamp(F.to_utc_timestamp(instant(as_of), F.current_timezone()), tz))
-    created_day = F.to_date(F.from_utc_timestamp(F.to_utc_timestamp("created_at", F.current_timezone()), tz))
+
+    def midnight(date):
+        return F.from_utc_timestamp(F.to_utc_timestamp(date.cast("timestamp"), tz), F.current_timezone())
+
     sampled = just_ingested("_ingested_at", as_of, window_s)
-    today = created_day == day
+    today = (F.col("created_at") >= midnight(day)) & (F.col("created_at") < midnight(F.date_add(day, 1)))
     counted = (
         state.where(sampled | today)
         .select(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.account import decide
-from ledgerline.schemas import DEBIT_TYPES
+from ledgerline.schemas import DEBIT_TYPES, TXN_TYPES
 from ledgerline.session import shared_dir, ship_package
 
 ORDER = ("account_id", "rank", "at", "id")
@@ -86,6 +86,8 @@ class SegmentSummary:
     def add(self, kind, txn_type, cents, intent) -> None:
         if kind != "txn":
             self.commands = True
+        elif cents is None or txn_type not in TXN_TYPES:
+            return  # changes nothing
         elif intent != "failed":
             debit = txn_type in DEBIT_TYPES
             if debit:

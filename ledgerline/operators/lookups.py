@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.functions.skew import salted_join
 from ledgerline.functions.timing import Instant, stamp_text
 from ledgerline.functions.values import UUID_PATTERN
 from ledgerline.operators.alerts import open_alerts_24h
@@ -49,19 +50,34 @@ def live_transactions(txns: DataFrame, accounts: DataFrame, merchants: DataFrame
     )
 
 
-def cursor_value(cursor: str | int | None) -> int:
-    """A cursor of digits; anything else starts from 0."""
-    text = str(cursor) if cursor is not None else ""
-    return int(text) if text.isascii() and text.isdigit() else 0
+def within(limit: int, most: int) -> int:
+    """A page size, refused if it is out of range rather than changed."""
+    if not 1 <= int(limit) <= most:
+        raise ValueError(f"limit must be 1 to {most}")
+    return int(limit)
+
+
+def cursor_value(cursor: str | int | None) -> tuple[int, str | None]:
+    """(commit time, id) of a cursor `time:id`; the time alone for a first page; anything else starts from 0."""
+    time, colon, last = (str(cursor) if cursor is not None else "").partition(":")
+    return (int(time), last if colon else None) if time.isascii() and time.isdigit() else (0, None)
 
 
 def transactions_since(
     txns: DataFrame, cursor: str | int | None, limit: int = SINCE_ROWS, highlight_above: float = HIGHLIGHT_ABOVE
 ) -> DataFrame:
-    """The next rows after a commit-time cursor, oldest first, large amounts marked."""
+    """The next rows after a cursor, oldest first, large amounts marked.
+
+    The next cursor is `source_ts_ms:id` of the last row, so rows of one
+    millisecond that do not fit on a page come on the next.
+    """
     amount = F.col("amount")
+    time, last = cursor_value(cursor)
+    after = F.col("_source_ts_ms") > time
+    if last is not None:
+        after = (F.col("_source_ts_ms") >= time) & (after | (F.col("id") > last))
     return (
-        txns.where(F.col("_source_ts_ms") > cursor_value(cursor))
+        txns.where(after)
         .orderBy("_source_ts_ms", "id")
         .limit(limit)
         .select(
@@ -123,7 +139,7 @@ def account_search(
     rows = accounts
     if text:
         rows = rows.where(F.lower("full_name").contains(text) | F.lower("email").contains(text))
-    page = rows.orderBy("full_name", "id").limit(min(max(int(limit), 1), SEARCH_MAX))
+    page = rows.orderBy("full_name", "id").limit(within(limit, SEARCH_MAX))
     cases = open_alerts_24h(alerts, as_of).withColumnRenamed("account_id", "id")
     return page.join(cases, "id", "left").select(
         "id",
@@ -169,7 +185,9 @@ def account_transactions(
     else:
         rows = txns.where(F.col("account_id") == account_id).orderBy(F.desc("created_at"), "id").limit(limit)
     names = merchants.select(F.col("id").alias("merchant_id"), F.col("name").alias("merchant_name"))
-    return rows.join(names, "merchant_id", "left").select(
+    # top-ups have no merchant, and a popular one has very many rows
+    named = rows.join(names, "merchant_id", "left") if account_id else salted_join(rows, names, "merchant_id", tie="id", how="left")
+    return named.select(
         "account_id",
         "id",
         "type",

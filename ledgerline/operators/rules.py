@@ -168,7 +168,10 @@ def zscore_flags(txns: DataFrame, as_of: Instant, params: ZScore = ZScore(), upp
     recent = txns.where(trailing("created_at", as_of, params.window_s, upper_bound)).select(
         "id", "account_id", "amount", "type", "merchant_id", "created_at"
     )
-    joined = salted_join(recent, account_baselines(txns, as_of, params, upper_bound), "account_id", tie="id")
+    baselines = account_baselines(txns, as_of, params, upper_bound)
+    # the baseline counts each account's rows already, the recent ones among them
+    counts = baselines.selectExpr("account_id", "txn_count_30d AS _n")
+    joined = salted_join(recent, baselines, "account_id", tie="id", counts=counts)
     scored = joined.selectExpr("*", "(CAST(amount AS DOUBLE) - avg_amount) / nullif(std_amount, 0) AS z")
     return scored.where(f"abs(z) > {float(params.max_abs_z)!r}D")
 

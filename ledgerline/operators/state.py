@@ -17,20 +17,22 @@ from ledgerline.schemas import TableSpec
 
 VERSION = "_source_ts_ms"
 DELETE = "d"
+ROWS_PER_FILE = 5_000_000
 
 
 def version_order(log: DataFrame, version: str = VERSION, tie: Sequence[str] | None = None) -> list[Column]:
     """Columns whose order decides which version is newest, without ambiguity.
 
-    Version first, then the position in the topic where known, then a hash of the
-    row, so that equal versions always resolve the same way. With `tie` given,
-    those columns take the place of position and hash.
+    Version first, then the position in the topic. A log without positions resolves
+    equal versions by a hash of the row, which has to read every column. With
+    `tie` given, those columns take the place of both.
     """
     if tie is not None:
         return [F.col(version), *map(F.col, tie)]
-    position = [F.col(c) for c in ("_offset",) if c in log.columns]
+    if "_offset" in log.columns:
+        return [F.col(version), *[F.col(c) for c in ("_offset", "_partition") if c in log.columns]]
     content = [c for c in log.columns if not c.startswith("_") and c not in ("yyyymm", "writer", "batch_id")]
-    return [F.col(version), *position, F.xxhash64(*content)]
+    return [F.col(version), F.xxhash64(*content)]
 
 
 def latest_versions(
@@ -69,7 +71,7 @@ def deleted_rows(
 
 def row_versions(log: DataFrame, condition: Column, version: str = VERSION) -> DataFrame:
     """Every stored version of the selected rows in version order."""
-    return log.where(condition).orderBy(version)
+    return log.where(condition).orderBy(*version_order(log, version))
 
 
 def multi_version_ids(log: DataFrame, key: Sequence[str] = ("id",)) -> DataFrame:
@@ -151,16 +153,19 @@ def compact_log(log: DataFrame, before_month: int, key: Sequence[str] = ("id",),
     return closed.unionByName(log.where(F.col("yyyymm") >= before_month))
 
 
-def rewrite_compacted(log: DataFrame, path: str, before_month: int, table: TableSpec, files_per_month: int = 64) -> None:
+def rewrite_compacted(log: DataFrame, path: str, before_month: int, table: TableSpec, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write the compacted log as a new generation beside the old one.
 
-    Readers are switched to the new folder once it is complete. Each month is
-    spread over `files_per_month` tasks by key, so no month is written by one task.
+    Readers are switched to the new folder once it is complete. A month is spread by key
+    over tasks of about `rows_per_file` stored versions.
     """
     compacted = compact_log(log, before_month, table.key)
-    part = F.pmod(F.xxhash64(*table.key), F.lit(files_per_month))
+    # one row for each month
+    sizes = log.groupBy("yyyymm").agg(F.expr(f"CAST(ceil(count(*) / {rows_per_file}) AS BIGINT)").alias("_files"))
     (
-        compacted.withColumn("_part", part)
+        compacted.join(F.broadcast(sizes), "yyyymm", "left")
+        .withColumn("_part", F.pmod(F.xxhash64(*table.key), F.coalesce("_files", F.lit(1))))
+        .drop("_files")
         .repartition("yyyymm", "_part")
         .drop("_part")
         .sortWithinPartitions("yyyymm", *[c for c in ("account_id", "created_at", "id") if c in log.columns])

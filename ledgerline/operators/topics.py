@@ -19,7 +19,9 @@ def topic_tail(records: DataFrame, limit: int = TAIL_DEFAULT) -> DataFrame:
     `value_json` is the value where it is valid JSON; otherwise `value` is shown
     as it is. Every map task passes on at most `limit` records per partition.
     """
-    n = min(max(int(limit), 1), TAIL_MAX)
+    if not 1 <= int(limit) <= TAIL_MAX:
+        raise ValueError(f"limit must be 1 to {TAIL_MAX}")
+    n = int(limit)
     w = W.partitionBy("topic", "partition").orderBy(F.desc("offset"))
     tails = records.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
     newest = tails.orderBy(F.desc("timestamp"), F.desc("offset"), "partition").limit(n)

@@ -21,9 +21,24 @@ from ledgerline.schemas import (
 
 
 def wire_instant(text: Column) -> Column:
-    """ISO text, or epoch milliseconds written as digits; NULL when empty or unreadable."""
-    millis = F.when(text.rlike("^[0-9]{11,}$"), F.timestamp_millis(text.try_cast("bigint")))
-    return F.coalesce(text.try_cast("timestamp"), millis)
+    """ISO text, also with slashes, or epoch seconds or milliseconds written as digits; NULL when empty or unreadable."""
+    digits = text.try_cast("bigint")
+    epoch = F.when(text.rlike("^[0-9]{11,}$"), F.timestamp_millis(digits)).when(text.rlike("^[0-9]{9,10}$"), F.timestamp_seconds(digits))
+    slashed = F.when(text.rlike("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"), F.translate(text, "/", "-").try_cast("timestamp"))
+    return F.coalesce(text.try_cast("timestamp"), epoch, slashed)
+
+
+def blank(text: Column) -> Column:
+    return text.isNull() | (F.trim(text) == "")
+
+
+def split_readable(flat: DataFrame, table: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(rows whose required times are empty or readable, the others as messages with what could not be read)."""
+    times = [c for c, kind in table.columns.items() if kind == STAMP]
+    broken = [F.when(~blank(F.col(c)) & wire_instant(F.col(c)).isNull(), F.lit(c)) for c in times]
+    marked = flat.withColumn("_unreadable", F.array_compact(F.array(*broken)))
+    lost = marked.where(F.size("_unreadable") > 0)
+    return marked.where(F.size("_unreadable") == 0).drop("_unreadable"), lost.select(F.to_json(F.struct("*")).alias("_corrupt_record"))
 
 
 def type_rows(flat: DataFrame, table: TableSpec, truncate_seconds: bool = False) -> DataFrame:
@@ -31,7 +46,8 @@ def type_rows(flat: DataFrame, table: TableSpec, truncate_seconds: bool = False)
 
     Unreadable amounts become NULL rather than failing the row, because a delete
     marker may carry its key only. Missing creation and update times fall back to
-    the commit time. `truncate_seconds` drops sub-second digits of text times.
+    the commit time; unreadable ones become NULL, which `check_domains` reports and
+    :func:`split_readable` sets aside. `truncate_seconds` drops sub-second digits of text times.
     """
     commit = F.timestamp_millis("__source_ts_ms")
 
@@ -44,10 +60,10 @@ def type_rows(flat: DataFrame, table: TableSpec, truncate_seconds: bool = False)
         if kind in (STAMP, STAMP_OR_NULL):
             t = wire_instant(c)
             t = F.date_trunc("second", t) if truncate_seconds else t
-            return F.coalesce(t, commit) if kind == STAMP else t
+            return F.when(blank(c), commit).otherwise(t) if kind == STAMP else t
         return c
 
-    extra = ["_offset"] if "_offset" in flat.columns else []
+    extra = [c for c in ("_partition", "_offset") if c in flat.columns]
     return flat.select(
         *[typed(c, k).alias(c) for c, k in table.columns.items()],
         F.col("__op").alias("cdc_op"),
@@ -91,8 +107,8 @@ def split_checked(rows: DataFrame, table: TableSpec) -> tuple[DataFrame, DataFra
 
 
 def check_unique_email(accounts: DataFrame) -> DataFrame:
-    """E-mail addresses used by more than one account, with the number of uses."""
-    return accounts.groupBy("email").agg(F.count(F.lit(1)).alias("uses")).where(F.col("uses") > 1)
+    """E-mail addresses used by more than one account, with the number of uses; a missing address is none."""
+    return accounts.where("email IS NOT NULL").groupBy("email").agg(F.count(F.lit(1)).alias("uses")).where(F.col("uses") > 1)
 
 
 def check_foreign_keys(rows: DataFrame, parents: DataFrame, column: str) -> DataFrame:

@@ -58,6 +58,8 @@ class TableSpec:
             T.StructField("cdc_op", T.StringType()),
             T.StructField("_source_ts_ms", T.LongType()),
             T.StructField("_ingested_at", T.TimestampType()),
+            T.StructField("_partition", T.IntegerType()),
+            T.StructField("_offset", T.LongType()),
         ]
         return T.StructType(fields)
 

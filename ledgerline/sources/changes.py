@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.schemas import TableSpec
+from ledgerline.schemas import TOPIC_RECORD, TableSpec
 
 CORRUPT = "_corrupt_record"
 EMPTY = "(empty message)"
-MAX_CORRUPT = 10  # broken messages tolerated per block
+# ---- fixed values: broken messages tolerated in so many messages ----
+MAX_CORRUPT = 10
 MAX_BLOCK_ROWS = 65_536
+# ---------------------------------------------------------------------
+POSITION = ("partition", "offset")
 
 
 def cdc_source(
@@ -21,12 +24,16 @@ def cdc_source(
     fmt: str = "kafka",
     topic_prefix: str = "public",
     options: dict[str, str] | None = None,
+    max_offsets: int | None = None,
 ) -> DataFrame:
     """One topic as a stream of (topic, partition, offset, timestamp, key, value).
 
-    `location` is the broker list for Kafka, or a folder of JSON-lines files for
-    the file form, which has no offsets. Both start from the earliest record on
-    the first run and continue from the checkpoint afterwards.
+    `location` is the broker list for Kafka, or a folder of files: `records` are
+    JSON lines of whole topic records, with their offsets; any other format is
+    text lines of message values alone. Those have no place in a topic; a hash of
+    the line stands in for the offset, so that equal versions at least always
+    resolve the same way. All start from the earliest record on the first run and
+    continue from the checkpoint afterwards. `max_offsets` bounds a Kafka batch.
     """
     opts = options or {}
     topic = f"{topic_prefix}.{table.name}"
@@ -36,7 +43,7 @@ def cdc_source(
             .option("kafka.bootstrap.servers", location)
             .option("subscribe", topic)
             .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", MAX_BLOCK_ROWS)
+            .options(**({"maxOffsetsPerTrigger": str(max_offsets)} if max_offsets else {}))
             .options(**opts)
             .load()
         )
@@ -48,11 +55,13 @@ def cdc_source(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
         )
+    if fmt == "records":
+        return spark.readStream.schema(TOPIC_RECORD).options(**opts).json(location)
     lines = spark.readStream.format("text").options(**opts).load(location)
     return lines.select(
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
-        F.lit(None).cast("bigint").alias("offset"),
+        F.xxhash64("value").alias("offset"),
         F.current_timestamp().alias("timestamp"),
         F.lit(None).cast("string").alias("key"),
         F.when(F.col("value") != "", F.col("value")).alias("value"),
@@ -63,7 +72,7 @@ def parse_flat(records: DataFrame, table: TableSpec, value: str = "value") -> Da
     """Flat change messages as declared columns; undeclared JSON fields are ignored.
 
     Adds `_corrupt_record` (the text of a message that is not valid JSON) and
-    `_offset` where the records have offsets.
+    `_partition` and `_offset` where the records have them.
     """
     schema = table.wire_schema().add(CORRUPT, T.StringType())
     return exploded(records, schema, value)
@@ -78,7 +87,7 @@ def exploded(records: DataFrame, schema: T.StructType, value: str) -> DataFrame:
     # an empty text would parse to a row of NULLs; it is a broken message like any other
     text = F.when(F.trim(value) == "", F.lit(EMPTY)).otherwise(F.col(value))
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    keep = [F.col("offset").alias("_offset")] if "offset" in records.columns else []
+    keep = [F.col(c).alias(f"_{c}") for c in POSITION if c in records.columns]
     return records.select(*keep, F.inline(F.when(F.col(value).isNotNull(), F.array(parsed))))
 
 
@@ -116,7 +125,7 @@ def unwrap_envelope(records: DataFrame, table: TableSpec, value: str = "value")
     )
     schema = T.StructType([*body.fields, T.StructField("payload", body), T.StructField(CORRUPT, T.StringType())])
     rows = exploded(records, schema, value)
-    keep = ["_offset"] if "_offset" in rows.columns else []
+    keep = [f"_{c}" for c in POSITION if f"_{c}" in rows.columns]
 
     def pick(name: str) -> Column:
         return F.coalesce(F.col(f"payload.{name}"), F.col(name))

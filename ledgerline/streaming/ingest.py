@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.operators.typing import type_rows
+from ledgerline.operators.typing import split_readable, type_rows
 from ledgerline.schemas import TableSpec
-from ledgerline.sources.changes import MAX_CORRUPT, parse_flat, split_corrupt, unwrap_envelope
+from ledgerline.sources.changes import CORRUPT, MAX_BLOCK_ROWS, MAX_CORRUPT, parse_flat, split_corrupt, unwrap_envelope
 from ledgerline.sources.logs import append_versions, writer_name
 
 FLUSH = "500 milliseconds"
@@ -37,9 +37,10 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Parse, type and append every batch of messages.
 
-    Broken messages go to the dead-letter folder. A batch with more of them than
-    tolerated fails after they were stored, so nothing is lost and nothing goes by
-    unnoticed. The number of broken messages is the only value the driver reads.
+    Broken messages, and rows with an unreadable required time, go to the dead-letter
+    folder. A batch with more broken messages than `max_corrupt` in every MAX_BLOCK_ROWS
+    begun fails after they were stored, so nothing is lost and nothing goes by
+    unnoticed. Two counts are the only values the driver reads.
     """
     parsed = unwrap_envelope(records, table) if enveloped else parse_flat(records, table)
     writer = writer_name(checkpoint)
@@ -48,8 +49,10 @@ def stream_ingest(
         batch.persist()
         try:
             good, dead = split_corrupt(batch)
-            broken = dead.count()
-            if broken:
+            good, unreadable = split_readable(good, table)
+            rows, broken = batch.agg(F.count("*"), F.count(CORRUPT)).first()
+            dead = dead.unionByName(unreadable)
+            if not dead.isEmpty():
                 (
                     dead.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id)})
                     .write.mode("overwrite")
@@ -57,7 +60,7 @@ def stream_ingest(
                     .partitionBy("writer", "batch_id")
                     .parquet(dead_letter_path)
                 )
-            if broken > max_corrupt:
+            if broken > max_corrupt * -(-rows // MAX_BLOCK_ROWS):
                 raise TooManyCorruptRecords(f"{broken} unreadable {table.name} messages in batch {batch_id}")
             append_versions(type_rows(good, table), log_path, writer, batch_id)
         finally:
@@ -67,7 +70,11 @@ def stream_ingest(
 
 
 def dedup_replays(versions: DataFrame, key: tuple[str, ...] = ("id",), delay: str = "1 hour") -> DataFrame:
-    """Drop re-delivered copies of a version that arrive within `delay` of each other."""
-    timed = versions.withColumn("_committed_at", F.timestamp_millis("_source_ts_ms"))
-    unique = timed.withWatermark("_committed_at", delay).dropDuplicatesWithinWatermark([*key, "_source_ts_ms"])
-    return unique.drop("_committed_at")
+    """Drop re-delivered copies of a version that arrive within `delay` of each other.
+
+    Time is the time of arrival, so no row is ever late: an old version that
+    arrives for the first time passes, however far behind it is.
+    """
+    timed = versions.withColumn("_arrived_at", F.current_timestamp())
+    unique = timed.withWatermark("_arrived_at", delay).dropDuplicatesWithinWatermark([*key, "_source_ts_ms"])
+    return unique.drop("_arrived_at")

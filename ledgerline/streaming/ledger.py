@@ -105,7 +105,7 @@ def start_ledger(
         spark = batch.sparkSession
         known = current_balances(spark, balance_path, batch_id)
         opened = batch.where("kind = 'open'").groupBy(F.col("account_id").alias("id")).agg(
-            F.expr("min_by(named_struct('cents', cents, 'status', type), cents) AS s")
+            F.expr("min_by(named_struct('cents', cents, 'status', type), named_struct('at', at, 'id', id)) AS s")
         )
         fresh = opened.join(known, "id", "left_anti").selectExpr(
             "id", "CAST(CAST(s.cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS balance", "s.status AS status"

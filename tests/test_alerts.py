@@ -106,9 +106,12 @@ def test_case_ids_repeat_for_a_repeated_pass(spark):
 
 def test_list_groups_and_buckets(spark):
     alerts = cases(spark, [("1", "a", "ZSCORE", "high", 50), ("2", "a", "ZSCORE", "critical", 40), ("3", "b", "VELOCITY", "high", 10), ("4", "a", "VELOCITY", "medium", 60)])
-    listed = N.alert_list(alerts, accounts(spark, "a"), limit=0)
-    assert values(listed, "id", "account_name") == [("3", None)]  # at least one row, newest first
-    listed = N.alert_list(alerts, accounts(spark, "a"))
+    with pytest.raises(ValueError, match="limit"):
+        N.alert_list(alerts, accounts(spark, "a"), limit=0)
+    assert values(N.alert_list(alerts, accounts(spark, "a"), limit=1), "id", "account_name") == [("3", None)]
+    listed = N.alert_list(alerts, accounts(spark, "a"), limit=None)
+    newest = N.alert_groups(listed, firings=1).collect()
+    assert [(g.account_id, g.total_firings, [f.id for f in g.firings]) for g in newest] == [("b", 1, ["3"]), ("a", 3, ["2"])]
     groups = N.alert_groups(listed).collect()
     assert [(g.account_id, g.total_firings, [f.id for f in g.firings]) for g in groups] == [("b", 1, ["3"]), ("a", 3, ["2", "1", "4"])]
     buckets = [tuple(r) for r in N.alert_rule_buckets(listed).collect()]

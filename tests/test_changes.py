@@ -39,8 +39,12 @@ def test_typing(spark):
 
 
 def test_times_fall_back_to_the_commit_time(spark):
-    rows = typed(spark, wire(created_at=""), wire(created_at=None), wire(created_at="soon"), wire(created_at="1776775303983"))
+    rows = typed(spark, wire(created_at=""), wire(created_at=None), wire(created_at="1776775303983"))
     assert {str(r[0]) for r in rows.select(F.col("created_at").cast("string")).collect()} == {"2026-04-21 12:41:43.983"}
+    forms = typed(spark, wire(created_at="1706659200"), wire(created_at="2024/01/31 00:00:00"))
+    assert {str(r[0]) for r in forms.select(F.col("created_at").cast("string")).collect()} == {"2024-01-31 00:00:00"}
+    lost = Y.check_domains(typed(spark, wire(created_at="soon")), TRANSACTIONS).first()
+    assert lost["created_at"] is None and "created_at_null" in lost["violations"]
     cut = typed(spark, wire(), truncate_seconds=True).select(F.col("created_at").cast("string")).first()[0]
     assert cut == "2026-04-21 12:41:43"
 

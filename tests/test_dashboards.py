@@ -92,12 +92,25 @@ def test_top_merchants_merge_equal_names(spark):
 
 
 def test_cursor_and_identifiers(spark):
-    assert [L.cursor_value(c) for c in (None, "x", "-5", "12", 7, "²")] == [0, 0, 0, 12, 7, 0]
+    plain = [L.cursor_value(c) for c in (None, "x", "-5", "12", 7, "²", "12:ab", "12:")]
+    assert plain == [(0, None), (0, None), (0, None), (12, None), (7, None), (0, None), (12, "ab"), (12, "")]
     t = txns(spark, [(1, "a", 5, 5)])
     with pytest.raises(ValueError, match="invalid uuid"):
         L.transaction_by_id(t, "1' OR '1'='1")
 
 
+def test_pages_lose_no_row_of_one_millisecond(spark):
+    rows = spark.range(250).selectExpr(
+        "lpad(id, 4, '0') AS id", "'a' AS account_id", "CAST(1 AS DECIMAL(18,2)) AS amount", "'VND' AS currency", "'purchase' AS type",
+        "'completed' AS status", "IF(id < 240, 5000L, 5001L) AS _source_ts_ms",
+    ).cache()
+    seen, cursor = [], None
+    while page := L.transactions_since(rows, cursor).collect():
+        seen += [r["id"] for r in page]
+        cursor = f"{page[-1]['source_ts_ms']}:{page[-1]['id']}"
+    assert seen == [f"{k:04d}" for k in range(250)]
+
+
 def test_newest_per_account_limit(spark):
     t = txns(spark, [(f"{a}{i}", a, 1, i) for a in "ab" for i in range(30)]).withColumn("description", F.lit(None).cast("string"))
     got = L.account_transactions(t, merchants(spark))
@@ -111,7 +124,9 @@ def test_account_search(spark):
     cases = spark.createDataFrame([("1", "open", 5), ("1", "open", 90_000), ("1", "closed_clean", 5)], "account_id string, status string, age int")
     cases = cases.selectExpr("account_id", "status", f"TIMESTAMP '{AS_OF}' - make_dt_interval(0, 0, 0, age) AS created_at")
     assert values(L.account_search(people, cases, AS_OF, " aNN "), "id", "open_alerts_24h") == [("1", 1), ("2", 0)]
-    assert L.account_search(people, cases, AS_OF).count() == 3 and L.account_search(people, cases, AS_OF, limit=-4).count() == 1
+    assert L.account_search(people, cases, AS_OF).count() == 3
+    with pytest.raises(ValueError, match="limit"):
+        L.account_search(people, cases, AS_OF, limit=-4)
 
 
 def test_topics(spark):
@@ -120,7 +135,9 @@ def test_topics(spark):
     records = records.withColumn("timestamp", F.timestamp_seconds("timestamp"))
     tail = [(r.partition, r.offset, r.value_json) for r in K.topic_tail(records, 3).collect()]
     assert tail == [(0, 4, '{"a":1}'), (0, 3, '{"a":1}'), (0, 2, '{"a":1}')]
-    assert K.topic_tail(records, 10_000).where("value_json IS NULL").count() == 2
+    assert K.topic_tail(records, 500).where("value_json IS NULL").count() == 2
+    with pytest.raises(ValueError, match="limit"):
+        K.topic_tail(records, 10_000)
     assert K.topic_stats(records).first() == ("t", 2, 7)
     done = spark.createDataFrame([("t", 0, -1)], "topic string, partition int, offset bigint")
     lag = K.consumer_lag(K.log_ends(records), done)

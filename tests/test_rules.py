@@ -133,13 +133,24 @@ def test_salted_join_equals_plain_join(spark):
     lookup = facts.select("account_id").distinct().selectExpr("account_id", "upper(account_id) AS name").where("account_id <> 'a5'")
     assert values(heavy_keys(facts, "account_id", min_rows=1000), "account_id") == [("hot",)]
     for how in ("inner", "left"):
-        salted = salted_join(facts, lookup, "account_id", "id", how, salts=7, min_rows=1000)
+        salted = salted_join(facts, lookup, "account_id", "id", how, min_rows=1000)
         plain = facts.join(lookup, "account_id", how)
         assert values(salted.na.fill("-"), "id", "account_id", "name") == values(plain.na.fill("-"), "id", "account_id", "name")
-    hot_rows = salted_join(facts, lookup, "account_id", "id", salts=7, min_rows=1000).where("account_id = 'hot'")
+    hot_rows = salted_join(facts, lookup, "account_id", "id", min_rows=1000).where("account_id = 'hot'")
     assert hot_rows.count() == facts.where("account_id = 'hot'").count()
 
 
+def test_salted_join_spreads_rows_without_a_key(spark):
+    facts = spark.range(30_000).selectExpr("id", "IF(id % 3 = 0, NULL, CAST(id % 50 AS STRING)) AS account_id")
+    lookup = spark.range(50).selectExpr("CAST(id AS STRING) AS account_id", "id AS n")
+    joined = salted_join(facts, lookup, "account_id", "id", "left")
+    assert joined.count() == 30_000 and joined.where("n IS NULL").count() == 10_000
+    counted = facts.groupBy("account_id").count().withColumnRenamed("count", "_n").where("account_id IS NOT NULL")
+    assert values(salted_join(facts, lookup, "account_id", "id", counts=counted, min_rows=100), "id") == values(
+        facts.join(lookup, "account_id"), "id"
+    )
+
+
 def test_history_counts_and_clamp(spark):
     rows = [(1, "a", 60_000_000, 30), (2, "a", 150_000_000, 30, {"merchant_id": "m9", "status": "failed"}), (3, "a", 1, 90 * 60)]
     h = V.rule_history(txns(spark, rows), merchants(spark), AS_OF, minutes=30)

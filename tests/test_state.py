@@ -46,6 +46,12 @@ def test_state_does_not_depend_on_arrival(spark):
     assert same(S.latest_state(once), S.latest_state(shuffled))
 
 
+def test_order_of_a_positioned_log_reads_no_content(spark, tmp_path):
+    log(spark, [("x", 1, "u", 1, 0, "2024-01-01")]).write.parquet(str(tmp_path / "log"))
+    plan = S.latest_state(spark.read.parquet(str(tmp_path / "log"))).select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:string,cdc_op:string,_source_ts_ms:bigint,_offset:bigint>" in plan
+
+
 def test_ties_without_offset_are_stable(spark):
     rows = log(spark, [("x", i, "u", 1, 0, "2024-01-01") for i in range(20)]).drop("_offset")
     first = S.latest_state(rows).first().amount

@@ -161,11 +161,11 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 ISO = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 
-def wire_records(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+def wire_records(spark: SparkSession, sf_dir: str, broken: bool = False, every: int = 97) -> DataFrame:
     """Events as topic records with flat JSON change messages of the transactions table.
 
     Some creation times are empty or epoch milliseconds, every message has a field
-    nobody declared, and with `broken` some are not JSON and some have no value.
+    nobody declared, and with `broken` one in `every` is not JSON and some have no value.
     """
     created = f"CASE WHEN event_id % 4 = 0 THEN '' WHEN event_id % 5 = 0 THEN CAST(unix_millis(ts) AS STRING) ELSE {ISO} END"
     message = f"""to_json(named_struct('id', CAST(event_id AS STRING), 'account_id', CAST(user_id AS STRING),
@@ -174,7 +174,7 @@ def wire_records(spark: SparkSession, sf_dir: str, broken: bool = False) -> Data
       'updated_at', {ISO}, '__deleted', 'false', '__op', {OPERATION}, '__table', 'transactions',
       '__source_ts_ms', unix_millis(ts)))"""
     if broken:
-        message = f"CASE WHEN event_id % 97 = 5 THEN '{{bad' WHEN event_id % 89 = 7 THEN NULL ELSE {message} END"
+        message = f"CASE WHEN event_id % {every} = 5 THEN '{{bad' WHEN event_id % 89 = 7 THEN NULL ELSE {message} END"
     return read(spark, sf_dir, "events").selectExpr(
         "'public.transactions' AS topic",
         "CAST(event_id % 6 AS INT) AS partition",
@@ -185,6 +185,26 @@ def wire_records(spark: SparkSession, sf_dir: str, broken: bool = False) -> Data
     )
 
 
+def tied_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three changes of every event's row in one source transaction: only their offsets tell them apart.
+
+    The last one fails the transaction, or deletes every tenth row.
+    """
+    message = f"""to_json(named_struct('id', CAST(event_id AS STRING), 'account_id', CAST(user_id AS STRING), 'amount',
+      CAST(CAST(value AS DECIMAL(18,2)) AS STRING), 'currency', {CURRENCY}, 'type', event_type,
+      'status', element_at(array('pending', 'completed', 'failed'), step + 1), 'created_at', {ISO}, 'updated_at', {ISO},
+      '__op', CASE WHEN step = 0 THEN 'c' WHEN step = 2 AND event_id % 10 = 9 THEN 'd' ELSE 'u' END, '__source_ts_ms', unix_millis(ts)))"""
+    steps = read(spark, sf_dir, "events").selectExpr("*", "explode(array(0, 1, 2)) AS step")
+    return steps.selectExpr(
+        "'public.transactions' AS topic",
+        "CAST(event_id % 6 AS INT) AS partition",
+        "event_id div 6 * 3 + step AS offset",
+        "ts AS timestamp",
+        "CAST(event_id AS STRING) AS key",
+        f"{message} AS value",
+    )
+
+
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as change envelopes; deletes carry the row in `before`, some are wrapped in `payload`."""
     e = read(spark, sf_dir, "events")

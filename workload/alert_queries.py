@@ -35,7 +35,7 @@ YOUNG_PER_RULE = f"""young AS (
 LISTED = """listed AS (
   SELECT l.id, l.account_id, a.full_name AS account_name, rule_code, severity, txn_count, CAST(total_amount AS DOUBLE) AS total_amount,
     evidence, l.status, l.created_at
-  FROM (SELECT * FROM alerts ORDER BY created_at DESC, id LIMIT 2000) l LEFT JOIN accounts a ON a.id = l.account_id)"""
+  FROM (SELECT * FROM alerts) l LEFT JOIN accounts a ON a.id = l.account_id)"""
 
 
 def cases(s, d):
@@ -47,7 +47,7 @@ def active(s, d):
 
 
 def listed(s, d):
-    return N.alert_list(A.alerts(s, d), A.accounts(s, d), limit=2000)
+    return N.alert_list(A.alerts(s, d), A.accounts(s, d), limit=None)
 
 
 def tick(s, d):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import ledger as B
-from ledgerline.operators.state import latest_state
+from ledgerline.operators.state import latest_state, rewrite_compacted
 from ledgerline.operators.typing import type_rows
 from ledgerline.schemas import FRAUD_ALERTS, TRANSACTIONS
 from ledgerline.session import shared_dir
@@ -83,13 +83,23 @@ def ingest(run: Run, records: DataFrame, checkpoint: str = "ingest-checkpoint",
 def ingested(s, d):
     """Messages, some broken, to the version log; the dead letters are kept apart."""
     run = Run(s)
-    # the tolerance is per batch and the file form puts everything into one
-    log = ingest(run, run.messages(A.wire_records(s, d, broken=True)), max_corrupt=1_000_000_000)
+    log = ingest(run, run.messages(A.wire_records(s, d, broken=True, every=7919)))
     good = log.select(*TYPED_NAMES)
     dead = s.read.parquet(run.path("dead")).select(F.lit("dead").alias("id"), F.col("_corrupt_record").alias("description"))
     return out(good.unionByName(dead, allowMissingColumns=True))
 
 
+def state_from_log(s, d):
+    """Changes with one commit time through the stored log, and again through its compacted form."""
+    run = Run(s)
+    A.tied_records(s, d).write.json(run.path("in"))
+    log = ingest(run, cdc_source(s, TRANSACTIONS, run.path("in"), fmt="records"))
+    rewrite_compacted(log, run.path("compacted"), 210001, TRANSACTIONS)
+    both = [("log", log), ("compacted", s.read.schema(log.schema).parquet(run.path("compacted")))]
+    states = [latest_state(rows).select(F.lit(name).alias("read_from"), "id", "account_id", "amount", "status", "_offset") for name, rows in both]
+    return out(states[0].unionByName(states[1]))
+
+
 def sunk(s, d):
     """Typed messages through the version-log sink: rows per month folder."""
     run = Run(s)
@@ -196,12 +206,18 @@ QUERIES = {
     "stream_ingest": (
         ingested,
         with_views(
-            f"SELECT {TYPED_LIST} FROM typed WHERE event_id % 97 <> 5 AND event_id % 89 <> 7 UNION ALL "
-            "SELECT 'dead', NULL, NULL, NULL, NULL, NULL, NULL, '{bad', NULL, NULL, NULL, NULL FROM events WHERE event_id % 97 = 5",
+            f"SELECT {TYPED_LIST} FROM typed WHERE event_id % 7919 <> 5 AND event_id % 89 <> 7 UNION ALL "
+            "SELECT 'dead', NULL, NULL, NULL, NULL, NULL, NULL, '{bad', NULL, NULL, NULL, NULL FROM events WHERE event_id % 7919 = 5",
             "txn",
             extra=(TYPED,),
         ),
     ),
+    "state_from_log": (
+        state_from_log,
+        """SELECT read_from, CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS account_id,
+  CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount, 'failed' AS status, event_id // 6 * 3 + 2 AS _offset
+FROM events, (VALUES ('log'), ('compacted')) v(read_from) WHERE event_id % 10 <> 9""",
+    ),
     "version_log_sink": (
         sunk,
         with_views(
