@@ -21,6 +21,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # 20 characters or more; the same spans as all AK
 HEX = r"[0-9a-f]{24,}"
 
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# what ordinary names are learned from: shorter than a token that is scanned, so an unmarked secret is none of them
+NAME = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9+/_=-]{5,18}(?![A-Za-z0-9+/_=-])"
 SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST_RATIO = 12.0  # nats by which the random model must be likelier
 SMOOTHING = 0.5
@@ -68,7 +70,7 @@ def base_spans(text: str = "text") -> Column:
 
 
 def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, random_strings: int = RANDOM_STRINGS) -> DataFrame:
-    """(token, secret): strings the patterns call secret and digests in hex and base 64, against ordinary words and identifiers.
+    """(token, secret): strings the patterns call secret and digests in hex and base 64, against ordinary words and identifiers of 6 to 19 signs.
 
     From at most `sample_docs` different texts, drawn by hash.
     """
@@ -80,7 +82,7 @@ def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, random_str
     hits = sample.select(F.explode(F.regexp_extract_all("text", pattern, F.lit(0))).alias("hit"))
     hits = hits.select(F.regexp_extract("hit", r"([A-Za-z0-9+/_=-]+)$", 1).alias("token")).where("length(token) >= 16")
     plain = F.regexp_replace("text", pattern, F.lit(" "))
-    ordinary = sample.select(F.explode(F.regexp_extract_all(plain, F.lit(r"[A-Za-z][A-Za-z0-9+/_=-]{5,}"), F.lit(0))).alias("token"))
+    ordinary = sample.select(F.explode(F.regexp_extract_all(plain, F.lit(NAME), F.lit(0))).alias("token"))
     digests = docs.sparkSession.range(random_strings).selectExpr("sha2(CAST(id AS STRING), 256) AS digest")
     random = digests.selectExpr("explode(array(digest, rtrim('=', base64(unhex(digest))))) AS token")
     return hits.unionAll(random).withColumn("secret", F.lit(True)).unionAll(ordinary.withColumn("secret", F.lit(False)))
