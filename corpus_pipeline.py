@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table
+from ledgerline.llm.common import checkpointed, table
 from ledgerline.llm.decontaminate import find_leaks
 from ledgerline.llm.language import UND, fit_languages, identify
 from ledgerline.llm.packing import pack
@@ -32,10 +32,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group of near-duplicates the document with the smallest doc_id; one without an id stays."""
-    found = near_duplicates(docs, SHINGLE, MAX_BITS)
-    copies = found.where("doc_id <> component_id").selectExpr("doc_id AS _copy").distinct()
-    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    """Keep one document of each group of near-duplicates: the one with the smallest doc_id; one without an id stays.
+
+    A row is known by its id and two hashes of its text, so rows that share an id are judged apart, and of
+    rows that agree in both one stays.
+    """
+    key = {"doc_id": "doc_id", "h1": "xxhash64(text)", "h2": "xxhash64('k', text)"}
+    parts = ", ".join(f"'{name}', {part}" for name, part in key.items())
+    found = near_duplicates(docs.selectExpr(f"IF(doc_id IS NULL, NULL, named_struct({parts})) AS doc_id", "text"), SHINGLE, MAX_BITS)
+    rows = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.expr("bool_or(doc_id <> component_id) AS _copy"), F.expr("count(*) AS _n"))
+    told = checkpointed(rows.where("_copy OR _n > 1").selectExpr(*[f"doc_id.{name} AS _{name}" for name in key], "_copy"))
+    same = (docs["doc_id"] == told["_doc_id"]) & (F.xxhash64(docs["text"]) == told["_h1"]) & (F.xxhash64(F.lit("k"), docs["text"]) == told["_h2"])
+    kept, repeated = docs.join(told, same, "left_anti"), told.where("NOT _copy")
+    return kept if repeated.isEmpty() else kept.unionAll(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
