@@ -17,7 +17,7 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42  # of the shingle hash
 BLOCK_VARIANTS = 1 << 20  # variants that one block of the variant space holds on average
-TASK_VARIANTS = 4 << 20  # variants held in memory at once
+TASK_VARIANTS = 1 << 20  # variants held in memory at once: some 80 MB
 HOT_FACTOR = 16  # a block with so many times the average is divided before the shuffle
 FINER = 8  # by so many more bits
 _SLICE = 1 << 15
