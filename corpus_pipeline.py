@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpointed, table
+from ledgerline.llm.common import table
 from ledgerline.llm.decontaminate import find_leaks
 from ledgerline.llm.language import UND, fit_languages, identify
 from ledgerline.llm.packing import pack
@@ -41,7 +41,9 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     parts = ", ".join(f"'{name}', {part}" for name, part in key.items())
     found = near_duplicates(docs.selectExpr(f"IF(doc_id IS NULL, NULL, named_struct({parts})) AS doc_id", "text"), SHINGLE, MAX_BITS)
     rows = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.expr("bool_or(doc_id <> component_id) AS _copy"), F.expr("count(*) AS _n"))
-    told = checkpointed(rows.where("_copy OR _n > 1").selectExpr(*[f"doc_id.{name} AS _{name}" for name in key], "_copy"))
+    folder = f"{shared_dir(spark)}/copies-{uuid.uuid4().hex}"
+    rows.where("_copy OR _n > 1").selectExpr(*[f"doc_id.{name} AS _{name}" for name in key], "_copy").write.parquet(folder)
+    told = spark.read.parquet(folder)  # a table of known size: Spark moves it rather than the texts while it is small
     same = (docs["doc_id"] == told["_doc_id"]) & (F.xxhash64(docs["text"]) == told["_h1"]) & (F.xxhash64(F.lit("k"), docs["text"]) == told["_h2"])
     kept, repeated = docs.join(told, same, "left_anti"), told.where("NOT _copy")
     return kept if repeated.isEmpty() else kept.unionAll(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
