@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import sql
+from ledgerline.llm.caps import near_vectors
 from ledgerline.llm.common import table
 from ledgerline.llm.decontaminate import find_leaks
 from ledgerline.llm.language import fit_languages, identify
+from ledgerline.llm.manifest import folded, manifest, proof, tampered_leaf
+from ledgerline.llm.negatives import hard_negatives
 from ledgerline.llm.packing import pack
 from ledgerline.llm.quality import judge
 from ledgerline.llm.secrets import find_secrets, written
@@ -85,6 +88,23 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "n_words", "n_removed", "sha2(kept, 256) AS kept_sha256")
 
 
+def op11_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors(table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "label", "embedding"))
+    return found.selectExpr("id AS vec_id", "n_links", "component_id", "id = component_id AS kept")
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = "IF(vec_id % 7 = 0, (label + 1) % 10, label) AS label"
+    rows = table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", label, "embedding", "vec_id % 100 = 0 AS anchor")
+    return hard_negatives(rows)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = manifest(table(spark, sf_dir, "documents"), other=tampered_leaf())
+    hashes = (f"{proof('path')} AS proof_sha256", f"{folded('path', 'coalesce(other, leaf)')} AS folded_root")
+    return found.selectExpr("doc_id", "leaf", "subroot", "root", *hashes).selectExpr("*", "folded_root = root AS verified")
+
+
 QUERIES = {
     "op1_decontaminate": (op1_decontaminate, sql.OP1),
     "op2_simhash": (op2_simhash, None),
@@ -96,4 +116,7 @@ QUERIES = {
     "op8_quality": (op8_quality, None),
     "op9_packing": (op9_packing, None),
     "op10_substring": (op10_substring, sql.OP10),
+    "op11_caps": (op11_caps, sql.OP11),
+    "op12_negatives": (op12_negatives, sql.OP12),
+    "op13_manifest": (op13_manifest, sql.OP13),
 }
