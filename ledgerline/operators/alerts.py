@@ -77,13 +77,13 @@ def evidence(code: str) -> str:
     return f"to_json(named_struct({fields}), map('ignoreNullFields', 'false'))"
 
 
-def alert_payload(code: str, flags: DataFrame, rules: RuleSet = RuleSet()) -> DataFrame:
-    """Flagged rows of one rule as (rule, account, count, amount, severity, evidence).
+def payload(code: str, rules: RuleSet = RuleSet(), count: str | None = None, total: str | None = None) -> dict[str, str]:
+    """SQL for the payload columns of one flagged row of a rule; `count` and `total` name other columns for them.
 
     `position` orders the rows of an account the way the rule sorts its result;
     the lowest is the one whose evidence a case keeps.
     """
-    count, total, position, txn_id = {
+    n, amount, position, txn_id = {
         "VELOCITY": ("txn_count", "total_amount", "0D", "''"),
         "ZSCORE": ("1", "amount", "-abs(z_score)", "id"),
         "LARGE_AMT": ("1", "amount", "-CAST(amount AS DOUBLE)", "id"),
@@ -91,16 +91,21 @@ def alert_payload(code: str, flags: DataFrame, rules: RuleSet = RuleSet()) -> Da
         "MULTI_CCY": ("txn_count", "0", "0D", "''"),
         "FAIL_SPIKE": ("failed_count", "0", "0D", "''"),
     }[code]
-    return flags.selectExpr(
-        f"'{code}' AS rule_code",
-        "account_id",
-        f"CAST({count} AS BIGINT) AS txn_count",
-        f"CAST({total} AS {TOTAL}) AS total_amount",
-        f"{classify_severity(code, rules)} AS severity",
-        f"{evidence(code)} AS evidence",
-        f"{position} AS position",
-        f"{txn_id} AS txn_id",
-    )
+    return {
+        "rule_code": f"'{code}'",
+        "account_id": "account_id",
+        "txn_count": f"CAST({count or n} AS BIGINT)",
+        "total_amount": f"CAST({total or amount} AS {TOTAL})",
+        "severity": classify_severity(code, rules),
+        "evidence": evidence(code),
+        "position": position,
+        "txn_id": txn_id,
+    }
+
+
+def alert_payload(code: str, flags: DataFrame, rules: RuleSet = RuleSet()) -> DataFrame:
+    """Flagged rows of one rule as (rule, account, count, amount, severity, evidence)."""
+    return flags.selectExpr(*[f"{value} AS {name}" for name, value in payload(code, rules).items()])
 
 
 def rules_all(flags: dict[str, DataFrame], rules: RuleSet = RuleSet()) -> DataFrame:

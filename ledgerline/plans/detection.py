@@ -9,14 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
 from ledgerline.functions.timing import Instant
-from ledgerline.operators.alerts import (
-    aggregate_alerts,
-    alert_payload,
-    decide_alerts,
-    new_cases,
-    outcome_summary,
-    rules_all,
-)
+from ledgerline.operators.alerts import aggregate_alerts, alert_payload, decide_alerts, new_cases, outcome_summary
+from ledgerline.operators.fused import fused_payloads, recent_state
 from ledgerline.operators.rules import all_rule_flags
 from ledgerline.params import RuleSet
 
@@ -33,9 +27,26 @@ def alert_tick(
     override_s: int | None = None,
     upper_bound: bool = True,
 ) -> DataFrame:
-    """All candidate cases of one pass with their outcome, as one lazy plan."""
-    flags = all_rule_flags(txns, merchants, as_of, rules, upper_bound)
-    return decide_alerts(aggregate_alerts(rules_all(flags, rules)), alerts, accounts, as_of, override_s)
+    """All candidate cases of one pass with their outcome.
+
+    The state is read once (:mod:`ledgerline.operators.fused`); what the rules need of it is stored first.
+    """
+    payloads = fused_payloads(txns, merchants, as_of, rules, upper_bound)
+    return decide_alerts(aggregate_alerts(payloads), alerts, accounts, as_of, override_s)
+
+
+def alert_tick_from_log(
+    log: DataFrame,
+    merchants: DataFrame,
+    accounts: DataFrame,
+    alerts: DataFrame,
+    as_of: Instant,
+    rules: RuleSet = RuleSet(),
+    override_s: int | None = None,
+    upper_bound: bool = True,
+) -> DataFrame:
+    """The pass over the stored version log: one scan of the months in question, one choice of newest versions."""
+    return alert_tick(recent_state(log, as_of, rules), merchants, accounts, alerts, as_of, rules, override_s, upper_bound)
 
 
 def run_alert_tick(

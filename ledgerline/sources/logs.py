@@ -83,10 +83,10 @@ def log_since(log: DataFrame, as_of: Instant, seconds: int) -> DataFrame:
 
 
 def alert_sink(alerts: DataFrame, path: str, writer: str, batch_id: int) -> None:
-    """Append new cases to the alert log; the same (writer, batch) replaces itself."""
+    """Append new cases to the alert log; the same (writer, batch) replaces itself, rule by rule."""
     (
         alerts.withColumn("yyyymm", month_key("created_at"))
-        .withColumn("writer", F.lit(writer))
+        .withColumn("writer", F.concat(F.lit(f"{writer}-"), "rule_code"))
         .withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,10 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.functions.values import round_even
 from ledgerline.operators.alerts import new_cases
 from ledgerline.params import RuleSet
-from ledgerline.plans.detection import alert_tick
+from ledgerline.plans.detection import alert_tick, run_alert_tick
 from ledgerline.sources.logs import alert_sink, writer_name
 from ledgerline.streaming.ingest import start
 
+LOG = logging.getLogger(__name__)
 INTERVAL = "30 seconds"
 SLIDE = "30 seconds"
 
@@ -28,6 +32,7 @@ def stream_detect(
     rules: RuleSet = RuleSet(),
     override_s: int | None = None,
     trigger: str | None = INTERVAL,
+    on_error: Callable[[int, str, str], None] | None = None,
 ) -> StreamingQuery:
     """Run a detection pass for every batch of arrivals, by default every 30 seconds.
 
@@ -35,6 +40,10 @@ def stream_detect(
     now. `as_of` derives the instant of the pass from the batch; without it the
     newest creation time in the batch is used, which makes a replay repeat the same
     passes. A pass that is run again replaces its own cases.
+
+    All rules run in one pass over the state. Where that fails, the rules run one by one, so a rule
+    that cannot run is logged (and told to `on_error` as (batch, rule, text)) while the cases of the others are
+    stored. Only a pass in which every rule fails stops the stream.
     """
     writer = writer_name(checkpoint)
 
@@ -47,10 +56,21 @@ def stream_detect(
             return
         txns, merchants, accounts, alerts = load_state()
         # cases this very batch wrote before a failure must not suppress its repetition
-        own = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
+        own = F.col("writer").startswith(writer) & (F.col("batch_id") == batch_id)
         earlier = alerts.where(~own) if {"writer", "batch_id"} <= set(alerts.columns) else alerts
-        decided = alert_tick(txns, merchants, accounts, earlier, at, rules, override_s)
-        alert_sink(new_cases(decided, at), alert_path, writer, batch_id)
+        try:
+            decided = alert_tick(txns, merchants, accounts, earlier, at, rules, override_s)
+            alert_sink(new_cases(decided, at), alert_path, writer, batch_id)
+        except (PySparkException, Py4JJavaError) as problem:
+            LOG.warning("batch %d: running its rules one by one, as the joint pass failed: %s", batch_id, problem)
+            store = lambda cases, code: alert_sink(cases, alert_path, writer, batch_id)
+            report = run_alert_tick(txns, merchants, accounts, earlier, at, store, rules, override_s)
+            failed = [r for r in report if "error" in r]
+            for r in failed:
+                if on_error:
+                    on_error(batch_id, r["rule_code"], r["error"])
+            if len(failed) == len(report):
+                raise
 
     return start(arrivals.writeStream.foreachBatch(run), checkpoint, trigger)
 

@@ -5,11 +5,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.params import FailSpike, HighRisk, LargeAmount, MultiCurrency, RuleSet, Velocity, ZScore
+from ledgerline.schemas import TRANSACTIONS
+from ledgerline.session import shared_dir
+from ledgerline.sources.logs import append_versions, read_log
 
 AS_OF = "2024-01-31 00:00:00"
 DAY = 86_400
@@ -105,6 +110,30 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of every event's transaction, the first with another amount and status; every tenth is deleted by a third."""
+    steps = "IF(event_id % 10 = 9, array(0, 1, 2), array(0, 1))"
+    rows = txn(spark, sf_dir).selectExpr("*", "CAST(id AS BIGINT) AS event_id").selectExpr("*", f"explode({steps}) AS step")
+    changed = {
+        "amount": "IF(step = 0, CAST(amount * 9 AS DECIMAL(18,2)), amount)",
+        "status": "IF(step = 0, 'failed', status)",
+        "cdc_op": "element_at(array('c', 'u', 'd'), step + 1)",
+        "_source_ts_ms": "_source_ts_ms + step * 1000",
+    }
+    names = [f"{changed.get(c, c)} AS {c}" for c in TRANSACTIONS.columns]
+    names += [f"{changed[c]} AS {c}" for c in ("cdc_op", "_source_ts_ms")]
+    return rows.selectExpr(*names, "CAST(event_id % 6 AS INT) AS _partition", "event_id div 6 * 3 + step AS _offset")
+
+
+def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions as a stored log, written by two batches of which the second holds the deletes."""
+    path = f"{shared_dir(spark)}/log-{uuid.uuid4().hex}"
+    rows = versions(spark, sf_dir)
+    append_versions(rows.where("cdc_op <> 'd'"), path, "supplied", 0)
+    append_versions(rows.where("cdc_op = 'd'"), path, "supplied", 1)
+    return read_log(spark, path, TRANSACTIONS)
+
+
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "supplier").selectExpr(
         "CAST(s_suppkey AS STRING) AS id",
@@ -348,6 +377,8 @@ DUCK = {
          o_orderkey, o_totalprice
   FROM orders)""",
 }
+# the same views over the transactions that the stored log leaves: all but every tenth
+LIVE = DUCK["txn"].replace("txn AS (", "every AS (", 1) + ",\ntxn AS (SELECT * FROM every WHERE event_id % 10 <> 9)"
 NEEDS = {"log": ("txn",), "newest": ("log",)}
 
 

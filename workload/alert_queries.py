@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import alerts as N
 from ledgerline.operators import evaluation as V
-from ledgerline.operators.rules import rule_flagged_accounts
-from ledgerline.plans.detection import alert_tick
+from ledgerline.operators.fused import flagged_accounts
+from ledgerline.plans.detection import alert_tick, alert_tick_from_log
 from ledgerline.schemas import RULE_CODES
 from workload import adapters as A
-from workload.adapters import AS_OF, RULES, out, with_views
-from workload.rule_queries import ALL_FLAGS, FLAGGED, PAYLOADS, T, flags
+from workload.adapters import AS_OF, LIVE, RULES, out, with_views
+from workload.rule_queries import ALL_FLAGS, FLAGGED, PAYLOADS, T, flags, payloads
 
 RULE_VIEWS = ("txn", "merchants")
 RANK = "CASE {0} WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END"
@@ -32,6 +32,10 @@ YOUNG = f"""young AS (
   SELECT DISTINCT account_id, rule_code FROM alerts WHERE created_at > {T} - to_seconds({DEDUP_S}))"""
 YOUNG_PER_RULE = f"""young AS (
   SELECT DISTINCT account_id, rule_code FROM alerts WHERE created_at > {T} - to_seconds({WINDOW_S}))"""
+OUTCOMES = """SELECT rule_code, count(*) FILTER (WHERE NOT dup AND known) AS new, count(*) FILTER (WHERE dup) AS dedup,
+  count(*) FILTER (WHERE NOT dup AND NOT known) AS skipped FROM (
+    SELECT c.rule_code, EXISTS (SELECT 1 FROM young y WHERE y.account_id = c.account_id AND y.rule_code = c.rule_code) AS dup,
+      c.account_id IN (SELECT id FROM accounts WHERE status = 'active') AS known FROM cases c) GROUP BY rule_code"""
 LISTED = """listed AS (
   SELECT l.id, l.account_id, a.full_name AS account_name, rule_code, severity, txn_count, CAST(total_amount AS DOUBLE) AS total_amount,
     evidence, l.status, l.created_at
@@ -39,7 +43,7 @@ LISTED = """listed AS (
 
 
 def cases(s, d):
-    return N.aggregate_alerts(N.rules_all(flags(s, d), RULES))
+    return N.aggregate_alerts(payloads(s, d))
 
 
 def active(s, d):
@@ -57,10 +61,16 @@ def tick(s, d):
     return out(N.outcome_summary(decided))
 
 
+def tick_from_log(s, d):
+    decided = alert_tick_from_log(
+        A.stored_log(s, d), A.merchants(s, d), active(s, d), A.alerts(s, d), AS_OF, RULES, override_s=DEDUP_S
+    )
+    return out(N.outcome_summary(decided))
+
+
 def severity(s, d):
     """Severity of every flagged row, counted per rule."""
-    rows = N.rules_all(flags(s, d), RULES)
-    return out(rows.groupBy("rule_code", "severity").agg(F.count(F.lit(1)).alias("n")))
+    return out(payloads(s, d).groupBy("rule_code", "severity").agg(F.count(F.lit(1)).alias("n")))
 
 
 def groups(s, d):
@@ -96,7 +106,7 @@ def transitions(s, d):
 
 
 def confusion(s, d):
-    return V.rule_confusion(A.labelled(s, d), rule_flagged_accounts(flags(s, d)))
+    return V.rule_confusion(A.labelled(s, d), flagged_accounts(payloads(s, d)))
 
 
 CONFUSION = """labelled AS (SELECT CAST(c_custkey AS VARCHAR) AS account_id, CASE c_custkey % 12 WHEN 0 THEN 'VELOCITY' WHEN 1 THEN 'LARGE_AMT'
@@ -167,16 +177,11 @@ QUERIES = {
     ),
     "alert_tick": (
         tick,
-        with_views(
-            """SELECT rule_code, count(*) FILTER (WHERE NOT dup AND known) AS new, count(*) FILTER (WHERE dup) AS dedup,
-  count(*) FILTER (WHERE NOT dup AND NOT known) AS skipped FROM (
-    SELECT c.rule_code, EXISTS (SELECT 1 FROM young y WHERE y.account_id = c.account_id AND y.rule_code = c.rule_code) AS dup,
-      c.account_id IN (SELECT id FROM accounts WHERE status = 'active') AS known FROM cases c) GROUP BY rule_code""",
-            *RULE_VIEWS,
-            "alerts",
-            "accounts",
-            extra=(*ALL_FLAGS, PAYLOADS, CASES, YOUNG),
-        ),
+        with_views(OUTCOMES, *RULE_VIEWS, "alerts", "accounts", extra=(*ALL_FLAGS, PAYLOADS, CASES, YOUNG)),
+    ),
+    "alert_tick_from_log": (
+        tick_from_log,
+        with_views(OUTCOMES, "merchants", "alerts", "accounts", extra=(LIVE, *ALL_FLAGS, PAYLOADS, CASES, YOUNG)),
     ),
     "alert_list": (
         lambda s, d: out(N.alert_list(A.alerts(s, d), A.accounts(s, d), rule="ZSCORE", severity="critical")),
@@ -252,7 +257,7 @@ QUERIES = {
         ),
     ),
     "rules_firing": (
-        lambda s, d: out(V.rules_firing(rule_flagged_accounts(flags(s, d)), RULE_CODES)),
+        lambda s, d: out(V.rules_firing(flagged_accounts(payloads(s, d)), RULE_CODES)),
         with_views(
             "SELECT r.rule_code, count(f.account_id) AS flagged, count(f.account_id) > 0 AS fires FROM "
             "(VALUES ('VELOCITY'),('LARGE_AMT'),('MULTI_CCY'),('ZSCORE'),('HIGH_RISK'),('FAIL_SPIKE')) r(rule_code) "

@@ -8,9 +8,9 @@ from ledgerline.functions.values import counts_text
 from ledgerline.operators import dashboards as D
 from ledgerline.operators import rule_views as V
 from ledgerline.operators import rules as R
-from ledgerline.operators.alerts import rules_all
+from ledgerline.operators.fused import flagged_accounts, fused_payloads, recent_state
 from workload import adapters as A
-from workload.adapters import AS_OF, FEED_RULES, RULES, out, with_views
+from workload.adapters import AS_OF, FEED_RULES, LIVE, RULES, out, with_views
 
 T = f"TIMESTAMP '{AS_OF}'"
 
@@ -108,6 +108,11 @@ PAYLOADS = f"""payloads AS (
            || CAST(fail_rate_pct AS DECIMAL(38,1)) || '}}',
          0.0, '' FROM failing)"""
 
+ALL_PAYLOADS = (
+    "SELECT rule_code, account_id, CAST(txn_count AS BIGINT) AS txn_count, CAST(total_amount AS DOUBLE) AS total_amount, "
+    "severity, evidence, txn_id FROM payloads"
+)
+
 FLAGGED = """flagged AS (
   SELECT DISTINCT rule_code, account_id FROM (
     SELECT 'VELOCITY' AS rule_code, account_id FROM velocity UNION ALL SELECT 'ZSCORE', account_id FROM outliers
@@ -119,6 +124,16 @@ def flags(s, d, rules=RULES):
     return R.all_rule_flags(A.txn(s, d), A.merchants(s, d), AS_OF, rules)
 
 
+def payloads(s, d):
+    """Payload rows of all rules, from one pass over the transactions."""
+    return fused_payloads(A.txn(s, d), A.merchants(s, d), AS_OF, RULES)
+
+
+def payloads_from_log(s, d):
+    """The same over the stored log."""
+    return fused_payloads(recent_state(A.stored_log(s, d), AS_OF, RULES), A.merchants(s, d), AS_OF, RULES)
+
+
 def velocity_rows(s, d):
     rows = R.rule_velocity(A.txn(s, d), AS_OF, RULES.velocity)
     return out(rows.withColumns({c: counts_text(F.col(c)) for c in ("txn_types", "txn_statuses")}))
@@ -255,17 +270,15 @@ QUERIES = {
         with_views("SELECT * FROM failing", "txn", extra=ACCOUNT_FLAGS[4:]),
     ),
     "rules_all": (
-        lambda s, d: out(rules_all(flags(s, d), RULES).drop("position")),
-        with_views(
-            "SELECT rule_code, account_id, CAST(txn_count AS BIGINT) AS txn_count, CAST(total_amount AS DOUBLE) AS total_amount, "
-            "severity, evidence, txn_id FROM payloads",
-            "txn",
-            "merchants",
-            extra=(*ALL_FLAGS, PAYLOADS),
-        ),
+        lambda s, d: out(payloads(s, d).drop("position")),
+        with_views(ALL_PAYLOADS, "txn", "merchants", extra=(*ALL_FLAGS, PAYLOADS)),
+    ),
+    "rules_all_from_log": (
+        lambda s, d: out(payloads_from_log(s, d).drop("position")),
+        with_views(ALL_PAYLOADS, "merchants", extra=(LIVE, *ALL_FLAGS, PAYLOADS)),
     ),
     "rule_flagged_accounts": (
-        lambda s, d: out(R.rule_flagged_accounts(flags(s, d), A.accounts(s, d).select(F.col("id").alias("account_id")))),
+        lambda s, d: out(flagged_accounts(payloads(s, d), A.accounts(s, d).select(F.col("id").alias("account_id")))),
         with_views(
             "SELECT rule_code, account_id FROM flagged WHERE account_id IN (SELECT id FROM accounts)",
             "txn",
