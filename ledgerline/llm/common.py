@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.session import shared_dir, ship_package
 
 BATCH_BYTES = 2 << 20  # text handed to a Python worker at once; one longer text comes alone
+TASK_BYTES = 64 << 20  # of written files that a task reads
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # fixed values: the white space that separates words
 SPACE_BYTES = (0x20, *range(0x09, 0x0E))
@@ -27,9 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def share(rows: int, wanted: int) -> int:
-    """Bound for a hash modulo 1,000,000,007 that lets about four times the wanted number of rows through."""
-    return min(1_000_000_007, 4 * wanted * 1_000_000_007 // max(rows, 1))
+def share(distinct: int, wanted: int) -> int:
+    """Bound for a hash modulo 1,000,000,007 that lets about four times the wanted number of so many different values through."""
+    return min(1_000_000_007, 4 * wanted * 1_000_000_007 // max(distinct, 1))
+
+
+def spread(files: DataFrame, column: str, size: str) -> DataFrame:
+    """A list of files dealt by ranges of a column over so many tasks that each reads about TASK_BYTES; adaptive execution keeps them apart."""
+    found = files.agg(F.sum(size), F.count("*")).first()
+    parallel = 2 * files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(math.ceil((found[0] or 0) / TASK_BYTES), min(found[1], parallel), 1)
+    return files.repartitionByRange(tasks, column)
 
 
 def arrow_pass(rows: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
@@ -52,6 +63,14 @@ def without(rows: DataFrame, *names: str) -> DataFrame:
     return rows.select(*[f"`{c}`" for c in rows.columns if c.lower() not in taken])
 
 
+def unused(rows: DataFrame, name: str) -> str:
+    """A name like this one that no column has, for a column to be dropped again."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def extended(rows: DataFrame, *fields: T.StructField) -> T.StructType:
     return T.StructType([*rows.schema.fields, *fields])
 

@@ -187,15 +187,20 @@ PATTERNS = [
 ]
 
 
+def likely_random(token, ratios):
+    codes = [SIGNS.index(c) for c in token]
+    tables = [ratios[k : k + len(SIGNS) ** 2] for k in range(0, len(ratios), len(SIGNS) ** 2)]
+    ratio = max(sum(table[a * len(SIGNS) + b] for a, b in zip(codes, codes[1:])) for table in tables)
+    return ratio >= 12 and ratio >= 0.7 * len(token)
+
+
 def secret_spans(text, ratios):
     found = []
     for rank, (kind, pattern, group, least) in enumerate(PATTERNS):
         found += [(m.start(), rank, m.end(), kind) for m in re.finditer(pattern, text or "") if len(m[group]) >= least]
     base = list(found)
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
-        codes = [SIGNS.index(c) for c in m[0]]
-        ratio = sum(ratios[a * len(SIGNS) + b] for a, b in zip(codes, codes[1:]))
-        if ratio >= 12 and all(end <= m.start() or m.end() <= start for start, _, end, _ in base):
+        if likely_random(m[0], ratios) and all(end <= m.start() or m.end() <= start for start, _, end, _ in base):
             found.append((m.start(), 3, m.end(), "random"))
     return sorted(found)
 
