@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import NOT_SPACE, Words, append, arrow_pass, extended, share, without
+from ledgerline.llm.common import MASKS, NOT_SPACE, Words, append, arrow_pass, extended, share, without
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_ROWS = 800  # labelled texts to learn from, spread evenly over the languages
@@ -19,7 +19,7 @@ SAMPLE_CHARS = 20_000  # only texts of at most this length are drawn for the sam
 ROUNDS = 3  # of expectation and maximisation
 SMOOTHING = 0.1
 UNKNOWN = 1e-6  # probability of a character outside the vocabulary
-CACHED_WORDS = 500_000  # 8 bytes, and 8 for each language
+CACHED_WORDS = 500_000  # 24 bytes, and 8 for each language
 SHORT = 40  # words up to this length are summed many at once; products of so many probabilities do not underflow
 AT_ONCE = 4096
 UND = "und"
@@ -58,17 +58,24 @@ class PieceModel:
                 order = np.argsort(hashes)
                 self.by_length[length] = hashes[order], np.array([pieces[p] for p in own])[order]
         self.known, self.values = np.empty(0, dtype=np.uint64), np.empty((0, len(languages)))
+        self.heads, self.sizes = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
 
     @classmethod
     def fit(cls, counts: dict[str, dict[str, int]], names: Iterable[str], rounds: int = ROUNDS, smoothing: float = SMOOTHING) -> PieceModel:
         """Learn from word counts by language, by expectation and maximisation over the pieces that occur."""
         languages, names = sorted(counts), set(names)
         longest = max(map(len, names), default=1)
-        words = sorted({w for own in counts.values() for w in own if len(w) < SHORT})
-        weight = np.array([[own.get(w, 0) for own in map(counts.get, languages)] for w in words], dtype=float)
+        # a long word, such as a sentence in a script without blanks, is learned from in parts
+        column, parts = {lang: k for k, lang in enumerate(languages)}, {}
+        for lang, own in counts.items():
+            for word, times in own.items():
+                marked = _MARK + word
+                for at in range(0, len(marked), SHORT):
+                    parts.setdefault(marked[at : at + SHORT], np.zeros(len(languages)))[column[lang]] += times
+        words = sorted(parts)
+        weight = np.array([parts[w] for w in words], dtype=float)
         found: dict[str, int] = {}
-        for word in words:
-            marked = _MARK + word
+        for marked in words:
             for i in range(len(marked)):
                 for j in range(i + 1, min(len(marked), i + longest) + 1):
                     if marked[i:j] in names:
@@ -77,7 +84,7 @@ class PieceModel:
         for _ in range(rounds):
             expected = np.full((len(found) + 1, len(languages)), smoothing)
             for lo in range(0, len(words), AT_ONCE):
-                model._expect([_MARK + w for w in words[lo : lo + AT_ONCE]], weight[lo : lo + AT_ONCE], expected)
+                model._expect(words[lo : lo + AT_ONCE], weight[lo : lo + AT_ONCE], expected)
             model.probability[:-1] = expected[:-1] / expected[:-1].sum(axis=0)
         return model
 
@@ -176,24 +183,27 @@ class PieceModel:
         return out
 
     def _logs(self, found: Words) -> np.ndarray:
-        """Log probabilities of all words; those met before are looked up by their hash."""
+        """Log probabilities of all words; those met before are looked up by hash, length and first 8 bytes."""
         import pandas as pd
 
         code, distinct = pd.factorize(found.hashes())
         first = np.empty(len(distinct), dtype=np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
+        loads = np.ndarray((len(found.buffer) - 7,), dtype="<u8", buffer=found.buffer, strides=(1,))
+        sizes = found.ends[first] - found.starts[first]
+        heads = loads[found.starts[first]] & MASKS[np.minimum(sizes, 8)]
         at = np.searchsorted(self.known, distinct)
         values, new = np.empty((len(distinct), len(self.languages))), np.ones(len(distinct), dtype=bool)
         if len(self.known):
             near = np.minimum(at, len(self.known) - 1)
-            new = self.known[near] != distinct
+            new = (self.known[near] != distinct) | (self.heads[near] != heads) | (self.sizes[near] != sizes)
             values[~new] = self.values[near[~new]]
         new = np.flatnonzero(new)
         values[new] = self.words([found.word(k).decode() for k in first[new]])
         if len(self.known) < CACHED_WORDS:
             new = new[np.argsort(distinct[new])]
-            self.known = np.insert(self.known, at[new], distinct[new])
-            self.values = np.insert(self.values, at[new], values[new], axis=0)
+            for name, more in (("known", distinct), ("heads", heads), ("sizes", sizes), ("values", values)):
+                setattr(self, name, np.insert(getattr(self, name), at[new], more[new], axis=0))
         return values[code]
 
     def __getstate__(self):
@@ -213,13 +223,13 @@ def _piece_hash(piece: str) -> int:
 def fit_languages(
     labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS, names: Iterable[str] | None = None
 ) -> PieceModel:
-    """Learn from labelled texts (text, lang): a bounded sample, evenly over the languages, by hash of the text.
+    """Learn from labelled texts (text, lang): a bounded sample of the distinct ones, evenly over the languages, by hash of the text.
 
-    Rows without text or label are not used. The driver gets the distinct words of at most
-    `sample_rows` texts of at most `sample_chars` characters each.
+    Rows without text or label are not used. Every language has texts in the sample, however often its rows repeat. The driver gets
+    the distinct words of at most `sample_rows` texts of at most `sample_chars` characters each.
     """
     rows = labelled.where(f"lang IS NOT NULL AND length(text) BETWEEN 1 AND {sample_chars}").selectExpr("lang", "text", "xxhash64(text) AS h")
-    counted = {r["lang"]: r["count"] for r in labelled.where("lang IS NOT NULL").groupBy("lang").count().collect()}
+    counted = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     shares = F.create_map(*[F.lit(x) for lang, n in counted.items() for x in (lang, share(n, sample_rows))]) if counted else F.create_map()
     few = rows.where(F.expr("pmod(h, 1000000007)") < F.try_element_at(shares, "lang")) if counted else rows
     ranked = few.select("lang", "h").distinct().withColumn("turn", F.expr("row_number() OVER (PARTITION BY lang ORDER BY h)"))
