@@ -53,8 +53,9 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = write_archives(roles(table(spark, sf_dir, "pages")))
-    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, sf_dir, "pages")
+    archives = write_archives(roles(pages))
+    return read_archives(archives, pages.schema["page_id"].dataType.simpleString()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_pass, checkpointed, open_folder
+from ledgerline.llm.common import arrow_pass, checkpointed, open_folder, spread
 from ledgerline.llm.tokens import VOCABULARY, encoder
 from ledgerline.session import shared_dir
 
@@ -216,9 +216,9 @@ def read_shards(shards: DataFrame, size: int = SIZE, from_slot: int = 0) -> Data
         for batch in batches:
             for shard, path, first, count in zip(*(batch[c].to_pylist() for c in ("shard", "path", "first_slot", "n_sequences"))):
                 files, at = open_folder(path)
-                with files.open_input_stream(at) as source:
+                with files.open_input_file(at) as source:
                     skip = max(0, from_slot - first)
-                    source.read(skip * record.itemsize)
+                    source.seek(skip * record.itemsize)
                     for lo in range(skip, count, 512):
                         raw = source.read(min(512, count - lo) * record.itemsize)
                         block = np.frombuffer(raw, dtype=record)
@@ -240,4 +240,4 @@ def read_shards(shards: DataFrame, size: int = SIZE, from_slot: int = 0) -> Data
 
     wanted = shards.where(f"first_slot + n_sequences > {from_slot}L")
     schema = "slot long, shard long, byte_offset long, doc_id long, doc_start long, n_tokens long, ids binary"
-    return arrow_pass(wanted.repartitionByRange("shard"), step, schema)
+    return arrow_pass(spread(wanted, "shard", "bytes"), step, schema)

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_pass, checkpointed, open_folder
+from ledgerline.llm.common import arrow_pass, checkpointed, open_folder, spread
 from ledgerline.session import shared_dir
 
 # fixed values: the skippable frame that holds a dictionary, a frame's magic number, names of the format
@@ -28,7 +28,6 @@ ARCHIVE_BYTES = 64 << 20  # an archive is closed when its records reach this siz
 DICTIONARY_BYTES = 32 << 10
 SAMPLE_BYTES = 1 << 20  # of the first records of an archive, to train its dictionary
 READ_BYTES = 1 << 18
-MOST_HEADER = 64 << 10
 
 
 def roles(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
@@ -170,7 +169,7 @@ def frames(source) -> Iterator[bytes]:
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     """Headers (names in lower case) and block of one record, after checks of form and lengths."""
-    end = raw.find(b"\r\n\r\n", 0, MOST_HEADER)
+    end = raw.find(b"\r\n\r\n")
     lines = raw[: max(end, 0)].decode().split("\r\n")
     if end < 0 or lines[0] != VERSION.decode():
         raise ValueError("not a record of this version")
@@ -214,8 +213,7 @@ def read_archives(archives: DataFrame, kind: str = "bigint", payloads: bool = Fa
                         yield _batch(rows, payloads)
 
     schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
-    spread = archives.select("path").repartition("path")
-    found = arrow_pass(spread, step, schema + (", payload binary" if payloads else ""))
+    found = arrow_pass(spread(archives, "path", "bytes").select("path"), step, schema + (", payload binary" if payloads else ""))
     return found.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
 
 
