@@ -120,6 +120,19 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_k1": F.expr("xxhash64(doc_id, text)"), "_k2": F.expr("xxhash64('k', text, doc_id)")})
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """Keyed rows with `_times`: of rows that share a key one, with their number. Only texts that repeat so are moved for it."""
+    counts = rows.groupBy("_k1", "_k2").agg(F.count("*").alias("_times")).where("_times > 1")
+    counts = checkpointed(counts)
+    if counts.isEmpty():
+        return rows.withColumn("_times", F.lit(1).cast("long"))
+    joined = rows.join(counts, ["_k1", "_k2"], "left")
+    single = joined.where("_times IS NULL").withColumn("_times", F.lit(1).cast("long"))
+    number = F.expr("row_number() OVER (PARTITION BY _k1, _k2 ORDER BY _times)")
+    many = joined.where("_times IS NOT NULL").withColumn("_number", number).where("_number = 1").drop("_number")
+    return single.unionAll(many)
+
+
 def release(spark) -> None:
     """Let go of shuffle files that no live frame needs: Spark deletes them once the driver has collected its garbage."""
     gc.collect()
@@ -131,7 +144,7 @@ def _place(start, count, before):
 
 
 def _members(rows: DataFrame, search: Search, kind: str) -> DataFrame:
-    """(kh, c, k1, k2, doc, place): every anchor, with the hash of its context."""
+    """(kh, c, k1, k2, doc, times, place): every anchor, with the hash of its context."""
 
     def step(batches):
         import xxhash
@@ -143,11 +156,11 @@ def _members(rows: DataFrame, search: Search, kind: str) -> DataFrame:
                 contexts = [xxhash.xxh3_64_intdigest(s) for s in units.slices(first, first + count - 1 + search.length)]
                 places = _place(first - units.bounds[owner], count, before)
                 columns = [pa.array(grams.view(np.int64)), pa.array(np.array(contexts, dtype=np.uint64).view(np.int64))]
-                columns += [batch[c].take(pa.array(owner)) for c in ("_k1", "_k2", "doc")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(places)], names=["kh", "c", "k1", "k2", "doc", "place"])
+                columns += [batch[c].take(pa.array(owner)) for c in ("_k1", "_k2", "doc", "_times")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(places)], names=["kh", "c", "k1", "k2", "doc", "times", "place"])
 
-    schema = f"kh long, c long, k1 long, k2 long, doc {kind}, place long"
-    return arrow_pass(rows.selectExpr("_k1", "_k2", "doc_id AS doc", "text"), step, schema)
+    schema = f"kh long, c long, k1 long, k2 long, doc {kind}, times long, place long"
+    return arrow_pass(rows.selectExpr("_k1", "_k2", "doc_id AS doc", "_times", "text"), step, schema)
 
 
 def _fetched(rows: DataFrame, wanted: DataFrame, search: Search, kind: str) -> DataFrame:
@@ -202,13 +215,14 @@ def repeated_windows(rows: DataFrame, search: Search) -> DataFrame:
     """
     spark = rows.sparkSession
     kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = once(rows)
     every = _members(rows, search, kind)
-    often = checkpointed(every.groupBy("kh").agg(F.count("*").alias("times")).where("times > 1").select("kh"))
+    often = checkpointed(every.groupBy("kh").agg(F.sum("times").alias("times")).where("times > 1").select("kh"))
     members = checkpointed(every.join(often, "kh"))
     del every, often
     release(spark)
     contexts = members.groupBy("kh", "c").agg(
-        F.expr("count(*) AS n"), F.expr("min(doc) AS least"), F.expr("min(struct(k1, k2, place)) AS one")
+        F.expr("sum(times) AS n"), F.expr("min(doc) AS least"), F.expr("min(struct(k1, k2, place)) AS one")
     )
     contexts = checkpointed(contexts)
     variants = checkpointed(contexts.groupBy("kh").agg(F.expr(f"count(*) > {search.hot} AS hot"), F.expr("count(*) AS v")).where("v > 1").drop("v"))
@@ -240,6 +254,24 @@ def repeated_windows(rows: DataFrame, search: Search) -> DataFrame:
     return runs
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all other columns as one, `_row`, so that none clashes with those of the search."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return keyed(docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias("_")).alias("_row")))
+
+
+def with_runs(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, text, _row, runs) of carried rows."""
+    same = (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2"))
+    return rows.join(found, same, "left").select("doc_id", "text", "_row", "runs")
+
+
+def restored(found: DataFrame, docs: DataFrame, *added: str) -> DataFrame:
+    """The columns of docs in their order, and the added ones."""
+    columns = [F.col(c if c in ("doc_id", "text") else f"_row.`{c}`").alias(c) for c in docs.columns]
+    return found.select(*columns, *added)
+
+
 def covered(size: int, runs: list[dict] | None, length: int) -> np.ndarray:
     """Which of a text's units lie in one of the windows."""
     change = np.zeros(size + 1, dtype=np.int32)

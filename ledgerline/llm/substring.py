@@ -5,15 +5,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import NOT_SPACE, Words, append, arrow_pass, as_bytes, extended, without
-from ledgerline.llm.repeats import HOT, Search, WordUnits, covered, in_groups, keyed, ranges_of, repeated_windows
+from ledgerline.llm.repeats import HOT, Search, WordUnits, carried, covered, in_groups, ranges_of, repeated_windows, restored, with_runs
 
 LENGTH = 50
 GRAM = 7  # first level
-TOGETHER = 40_000
+TOGETHER = 4_000  # contexts of about 90 words in memory at once: some 40 MB
 _MIX = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -100,13 +99,14 @@ def remove_later_copies(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
 
     A null or empty text has no words and keeps an empty text; rows with one doc_id are one document, which removes nothing
     from itself; a null doc_id neither loses words nor takes any; an empty table stays empty.
-    Input columns with the names above are replaced.
+    Input columns with the names above are replaced, all others stay.
     """
-    docs = without(docs, "n_words", "n_removed", "spans", "kept", "_k1", "_k2", "k1", "k2", "runs")
-    rows = keyed(docs)
+    added = ("n_words", "n_removed", "spans", "kept")
+    docs = without(docs, *added)
+    rows = carried(docs)
     search = Search(WordUnits, length, gram, "doc > least", "least_found < least", _compare(length, gram), hot)
     found = repeated_windows(rows.where("doc_id IS NOT NULL").select("doc_id", "text", "_k1", "_k2"), search)
-    joined = rows.join(found, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left").drop("_k1", "_k2", "k1", "k2")
+    joined = with_runs(rows, found)
 
     def step(batches):
         for batch in batches:
@@ -131,4 +131,5 @@ def remove_later_copies(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
 
     long, pairs = T.LongType(), T.ArrayType(T.ArrayType(T.LongType()))
     fields = [("n_words", long), ("n_removed", long), ("spans", pairs), ("kept", T.StringType())]
-    return arrow_pass(joined, step, extended(docs, *[T.StructField(*f) for f in fields]))
+    found = arrow_pass(joined, step, extended(joined.drop("runs"), *[T.StructField(*f) for f in fields]))
+    return restored(found, docs, *added)

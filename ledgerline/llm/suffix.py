@@ -5,11 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import append, arrow_pass, as_bytes, extended, without
-from ledgerline.llm.repeats import HOT, ByteUnits, Search, covered, in_groups, keyed, ranges_of, repeated_windows
+from ledgerline.llm.repeats import HOT, ByteUnits, Search, carried, covered, in_groups, ranges_of, repeated_windows, restored, with_runs
 
 LENGTH = 200
 GRAM = 16
@@ -80,18 +79,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
     A byte goes if it lies in a string of `length` <= 255 bytes that also starts anywhere else, in the same
     document or another; overlaps count, and matches never cross documents. Strings are
-    judged on the texts as given. All of them are found; equality is decided on bytes, and on 128-bit hashes only for
-    passages with more than `hot` different surroundings.
+    judged on the texts as given, and all of them are found. Surroundings that are equal as a whole are known by 128 bits
+    of hashes, different ones are compared on bytes, and on 128-bit hashes for passages with more than `hot` of them.
 
     A null or empty text has no bytes; texts under `length` bytes stay whole; rows that repeat id and text are
     occurrences of each other; a null doc_id is as good as any; an empty table stays empty. Input columns
-    with the names above are replaced.
+    with the names above are replaced, all others stay.
     """
-    docs = without(docs, "n_bytes", "n_removed", "spans", "kept", "_k1", "_k2", "k1", "k2", "runs")
-    rows = keyed(docs)
+    added = ("n_bytes", "n_removed", "spans", "kept")
+    docs = without(docs, *added)
+    rows = carried(docs)
     search = Search(ByteUnits, length, gram, "n > 1", "found > 1", _compare(length, gram), hot)
     found = repeated_windows(rows.select("doc_id", "text", "_k1", "_k2"), search)
-    joined = rows.join(found, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left").drop("_k1", "_k2", "k1", "k2")
+    joined = with_runs(rows, found)
 
     def step(batches):
         for batch in batches:
@@ -114,4 +114,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
     long, pairs = T.LongType(), T.ArrayType(T.ArrayType(T.LongType()))
     fields = [("n_bytes", long), ("n_removed", long), ("spans", pairs), ("kept", T.BinaryType())]
-    return arrow_pass(joined, step, extended(docs, *[T.StructField(*f) for f in fields]))
+    found = arrow_pass(joined, step, extended(joined.drop("runs"), *[T.StructField(*f) for f in fields]))
+    return restored(found, docs, *added)

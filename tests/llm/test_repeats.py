@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -114,3 +115,48 @@ def test_column_order_by_definition():
     for c in range(25):
         keys = [bytes(symbols[c : c + 6, s]) for s in range(40)]
         assert [got[c, s] for s in range(40)] == [b"\xff" not in k and keys.count(k) > 1 for k in keys]
+
+
+@pytest.mark.parametrize("ids", [lambda k: None, lambda k: 7, lambda k: k])
+def test_very_many_equal_rows_cost_no_more_than_their_number(spark, ids):
+    rnd = random.Random(5)
+    text = " ".join(str(rnd.randrange(10**5)) for _ in range(450))
+    docs = spark.createDataFrame([(ids(k), text, "x", k) for k in range(1000)], "doc_id long, text string, runs string, _k1 int")
+    begun = time.time()
+    spread = remove_repeats(docs).select("runs", "_k1", "n_removed", "n_bytes").collect()
+    assert {r["n_removed"] for r in spread} == {len(text)} and sorted(r["_k1"] for r in spread) == list(range(1000))
+    kept = [r["n_removed"] for r in remove_later_copies(docs).collect()]
+    assert sorted(kept) == ([0] + [450] * 999 if ids(0) == 0 else [0] * 1000)
+    assert time.time() - begun < 60
+
+
+def test_registered_sizes_against_brute_force(spark):
+    rnd = random.Random(9)
+    words = [f"w{k}" for k in range(40)]
+    shared = [" ".join(rnd.choice(words) for _ in range(n)) for n in (49, 50, 51, 60, 130)]
+    texts = [" ".join(rnd.choice(shared + [rnd.choice(words)] * 8) for _ in range(rnd.randint(1, 9))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, places = {}, {}
+    for doc, text in enumerate(texts):
+        split = text.split()
+        for k in range(len(split) - 49):
+            seen.setdefault(tuple(split[k : k + 50]), doc)
+        for k in range(len(text) - 199):
+            places.setdefault(text[k : k + 200], []).append((doc, k))
+    words_gone, bytes_gone = {}, {}
+    for doc, text in enumerate(texts):
+        split = text.split()
+        for k in range(len(split) - 49):
+            if seen[tuple(split[k : k + 50])] < doc:
+                words_gone.setdefault(doc, set()).update(range(k, k + 50))
+    for found in places.values():
+        if len(found) > 1:
+            for doc, k in found:
+                bytes_gone.setdefault(doc, set()).update(range(k, k + 200))
+    for r in remove_later_copies(docs).collect():
+        gone = words_gone.get(r["doc_id"], ())
+        assert r["kept"] == " ".join(w for k, w in enumerate(texts[r["doc_id"]].split()) if k not in gone)
+    for r in remove_repeats(docs).collect():
+        gone = bytes_gone.get(r["doc_id"], ())
+        assert r["kept"].decode() == "".join(c for k, c in enumerate(texts[r["doc_id"]]) if k not in gone)
+    assert words_gone and bytes_gone
