@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import table
 from ledgerline.llm.decontaminate import find_leaks
+from ledgerline.llm.dropped import PLACE, stored, without_dropped, write_bitmaps
 from ledgerline.llm.language import UND, fit_languages, identify
 from ledgerline.llm.packing import pack
 from ledgerline.llm.secrets import find_secrets, masked
@@ -32,21 +33,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates: the one with the smallest doc_id; one without an id stays.
+    """Keep one document of each group of near-duplicates: the one with the smallest doc_id; rows without an id all stay.
 
-    A row is known by its id and two hashes of its text, so rows that share an id are judged apart, and of
-    rows that agree in both one stays.
+    A row is known by its place in the stored table, so of rows that share an id the first by file and number stays. Only
+    ids and places are shuffled; the texts are filtered where they are read.
     """
-    key = {"doc_id": "doc_id", "h1": "xxhash64(text)", "h2": "xxhash64('k', text)"}
-    parts = ", ".join(f"'{name}', {part}" for name, part in key.items())
-    found = near_duplicates(docs.selectExpr(f"IF(doc_id IS NULL, NULL, named_struct({parts})) AS doc_id", "text"), SHINGLE, MAX_BITS)
-    rows = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.expr("bool_or(doc_id <> component_id) AS _copy"), F.expr("count(*) AS _n"))
-    folder = f"{shared_dir(spark)}/copies-{uuid.uuid4().hex}"
-    rows.where("_copy OR _n > 1").selectExpr(*[f"doc_id.{name} AS _{name}" for name in key], "_copy").write.parquet(folder)
-    told = spark.read.parquet(folder)  # a table of known size: Spark moves it rather than the texts while it is small
-    same = (docs["doc_id"] == told["_doc_id"]) & (F.xxhash64(docs["text"]) == told["_h1"]) & (F.xxhash64(F.lit("k"), docs["text"]) == told["_h2"])
-    kept, repeated = docs.join(told, same, "left_anti"), told.where("NOT _copy")
-    return kept if repeated.isEmpty() else kept.unionAll(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    docs = stored(docs)
+    known = docs.selectExpr(f"IF(doc_id IS NULL, NULL, named_struct('id', doc_id, 'place', {PLACE})) AS doc_id", "text")
+    found = near_duplicates(known, SHINGLE, MAX_BITS)
+    folder = f"{shared_dir(spark)}/dropped-{uuid.uuid4().hex}"
+    write_bitmaps(found.where("doc_id <> component_id").select("doc_id.place.*"), folder)
+    return without_dropped(docs, folder)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
