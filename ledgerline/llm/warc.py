@@ -98,7 +98,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, archive_bytes: i
         def begin():
             nonlocal sink, packer, size, records
             raw = _trained(waiting)
-            sink = files.open_output_stream(f"{base}/{name}-{len(done):04d}.warc.zst")
+            sink = files.open_output_stream(f"{base}/{name}-{len(done):04d}.warc.zst", compression=None)  # else the name would have it compressed again
             sink.write(struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw)
             packer = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw), write_content_size=True, write_checksum=True)
             size = records = 0
@@ -202,7 +202,7 @@ def read_archives(archives: DataFrame, kind: str = "bigint", payloads: bool = Fa
         for batch in batches:
             for path in batch["path"].to_pylist():
                 files, at = open_folder(path)
-                with files.open_input_stream(at) as source:
+                with files.open_input_stream(at, compression=None) as source:
                     rows = []
                     for raw in frames(source):
                         rows.append(_page(*parse(raw), payloads))
