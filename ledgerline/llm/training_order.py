@@ -221,9 +221,10 @@ def read_shards(shards: DataFrame, size: int = SIZE, from_slot: int = 0) -> Data
                     source.seek(skip * record.itemsize)
                     for lo in range(skip, count, 512):
                         raw = source.read(min(512, count - lo) * record.itemsize)
-                        block = np.frombuffer(raw, dtype=record)
-                        if len(block) != min(512, count - lo) or not (block["slot"] == np.arange(first + lo, first + lo + len(block))).all():
-                            raise ValueError(f"{path}: damaged at record {lo}")
+                        whole = len(raw) == min(512, count - lo) * record.itemsize
+                        block = np.frombuffer(raw if whole else b"", dtype=record)
+                        if not whole or not (block["slot"] == np.arange(first + lo, first + lo + len(block))).all():
+                            raise ValueError(f"{path}: damaged at record {lo} or after")
                         docs = block["doc_id"]
                         yield pa.RecordBatch.from_arrays(
                             [
