@@ -11,13 +11,25 @@ from ledgerline.schemas import DEBIT_TYPES, TXN_TYPES
 INSUFFICIENT = "insufficient funds"
 NOT_FOUND = "account not found"
 UNREADABLE = "unreadable amount, kind or type"
+NOT_POSITIVE = "amount must be > 0"
+NOT_ACTIVE, NOT_SUSPENDED = "not_active", "not_suspended"
 MAX_TOPUP_CENTS = 10_000_000_000 * 100
+TOO_LARGE = f"amount must be <= {MAX_TOPUP_CENTS // 100}"
+TOPUP_DESCRIPTION, TOPUP_CURRENCY = "Top up via UI", "VND"
 # ----------------------------------------------------------------------
 
 KINDS = ("txn", "topup", "suspend", "reactivate")
 COMPLETED, REJECTED, SHORT, MISSING, DECLINED, INVALID, CONFLICT = "C", "R", "I", "M", "F", "V", "X"
 
 
+def rejected(state: str | None) -> str:
+    return f"rejected: account {state}"
+
+
+def no_topup(state: str | None) -> str:
+    return f"cannot top up account in status '{state}'"
+
+
 def decide(account, kind, txn_type, cents, intent):
     """(account afterwards, outcome, recorded, status, reason) for one event.
 
@@ -32,7 +44,7 @@ def decide(account, kind, txn_type, cents, intent):
             return account, MISSING, False, None, NOT_FOUND
         balance, state = account
         if state != "active":
-            return account, REJECTED, True, "failed", f"rejected: account {state}"
+            return account, REJECTED, True, "failed", rejected(state)
         if intent == "failed":
             return account, DECLINED, True, "failed", None
         debit = txn_type in DEBIT_TYPES
@@ -41,19 +53,19 @@ def decide(account, kind, txn_type, cents, intent):
         return (balance - cents if debit else balance + cents, state), COMPLETED, True, "completed", None
     if kind == "topup":
         if cents is None or cents <= 0:
-            return account, INVALID, False, None, "amount must be > 0"
+            return account, INVALID, False, None, NOT_POSITIVE
         if cents > MAX_TOPUP_CENTS:
-            return account, INVALID, False, None, f"amount must be <= {MAX_TOPUP_CENTS // 100}"
+            return account, INVALID, False, None, TOO_LARGE
         if account is None:
             return account, MISSING, False, None, NOT_FOUND
         if account[1] != "active":
-            return account, CONFLICT, False, None, f"cannot top up account in status '{account[1]}'"
+            return account, CONFLICT, False, None, no_topup(account[1])
         return (account[0] + cents, account[1]), COMPLETED, True, "completed", None
     if account is None:
         return account, MISSING, False, None, NOT_FOUND
     needed, result, conflict = {
-        "suspend": ("active", "suspended", "not_active"),
-        "reactivate": ("suspended", "active", "not_suspended"),
+        "suspend": ("active", "suspended", NOT_ACTIVE),
+        "reactivate": ("suspended", "active", NOT_SUSPENDED),
     }[kind]
     if account[1] != needed:
         return account, CONFLICT, False, None, conflict

@@ -9,10 +9,17 @@ from ledgerline.functions.skew import salted_join
 from ledgerline.functions.values import is_uuid
 from ledgerline.schemas import CURRENCIES, TXN_TYPES
 
-# ---- fixed values: defaults of a submitted intent, type order in the refusal text ----
+# ---- fixed values: defaults of a submitted intent, refusal texts ----
 INTENT_DEFAULTS = {"currency": "VND", "type": "purchase", "description": "Demo from UI"}
 INTENT_TYPE_ORDER = ("purchase", "transfer", "withdrawal", "deposit", "refund")
-# --------------------------------------------------------------------------------------
+BAD_ACCOUNT = "account_id must be a UUID"
+BAD_AMOUNT = "amount must be > 0"
+BAD_CURRENCY = f"currency must be one of {','.join(CURRENCIES)}"
+BAD_TYPE = f"type must be one of {','.join(INTENT_TYPE_ORDER)}"
+NO_MERCHANT = "merchant_id or merchant (name) is required"
+BAD_MERCHANT = "merchant_id must be a UUID"
+UNKNOWN_MERCHANT = "merchant not found: "
+# ---------------------------------------------------------------------
 
 
 def validate_intents(intents: DataFrame) -> DataFrame:
@@ -28,12 +35,12 @@ def validate_intents(intents: DataFrame) -> DataFrame:
 
     bad_amount = amount.isNull() | F.isnan(amount) | (F.abs(amount) == float("inf")) | (amount <= 0)
     reason = (
-        F.when(~F.coalesce(is_uuid("account_id"), F.lit(False)), "account_id must be a UUID")
-        .when(bad_amount, "amount must be > 0")
-        .when(~F.col("currency").isin(*CURRENCIES), f"currency must be one of {','.join(CURRENCIES)}")
-        .when(~F.col("type").isin(*TXN_TYPES), f"type must be one of {','.join(INTENT_TYPE_ORDER)}")
-        .when(empty("merchant_id") & empty("merchant"), "merchant_id or merchant (name) is required")
-        .when(~empty("merchant_id") & ~is_uuid("merchant_id"), "merchant_id must be a UUID")
+        F.when(~F.coalesce(is_uuid("account_id"), F.lit(False)), BAD_ACCOUNT)
+        .when(bad_amount, BAD_AMOUNT)
+        .when(~F.col("currency").isin(*CURRENCIES), BAD_CURRENCY)
+        .when(~F.col("type").isin(*TXN_TYPES), BAD_TYPE)
+        .when(empty("merchant_id") & empty("merchant"), NO_MERCHANT)
+        .when(~empty("merchant_id") & ~is_uuid("merchant_id"), BAD_MERCHANT)
     )
     return filled.withColumn("reason", reason)
 
@@ -48,7 +55,7 @@ def resolve_merchant(intents: DataFrame, merchants: DataFrame) -> DataFrame:
     by_name = merchants.groupBy(F.col("name").alias("merchant")).agg(F.min("id").alias("found_id"))
     given = intents.where(has_id)
     named = salted_join(intents.where(~has_id), by_name, "merchant", tie="id", how="left")
-    unknown = F.concat(F.lit("merchant not found: "), F.coalesce("merchant", F.lit("")))
+    unknown = F.concat(F.lit(UNKNOWN_MERCHANT), F.coalesce("merchant", F.lit("")))
     resolved = named.withColumns(
         {
             "merchant_id": F.col("found_id"),

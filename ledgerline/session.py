@@ -56,6 +56,13 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of intermediate results, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -1,8 +1,9 @@
 """The balance ledger as a stream.
 
-Two forms: :func:`start_ledger` runs the batch ledger on every micro-batch and spreads
-hot accounts; :func:`stream_ledger` keeps the balances in keyed state, reacts faster, and
-has one account's events of a micro-batch in one task.
+Three forms. :func:`start_ledger` runs the batch ledger on every micro-batch and spreads
+hot accounts. :func:`event_time_ledger` keeps balances and early events in keyed state and decides in the order of
+event time, however the source deals its rows into micro-batches; :func:`stream_ledger` decides every micro-batch at once, in the order
+in which they come. Both have one account's events of a micro-batch in one task.
 """
 
 from __future__ import annotations
@@ -12,18 +13,19 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.utils import AnalysisException
 
 from ledgerline.functions.account import decide
-from ledgerline.operators.ledger import apply_ledger, closing_balances, ledger_result
-from ledgerline.session import ship_package
+from ledgerline.operators.ledger import CARRIED, apply_ledger, closing_balances, ledger_result
+from ledgerline.session import DEFAULTS, ship_package
 from ledgerline.streaming.ingest import FLUSH, start
 
 OUTPUT = (
     "account_id string, at timestamp, id string, kind string, type string, cents bigint, outcome string, "
-    "recorded boolean, status string, reason string, balance_cents bigint, account_status string"
+    "recorded boolean, status string, reason string, balance_cents bigint, account_status string, "
+    "merchant_id string, currency string, description string"
 )
 STATE = "balance_cents bigint, account_status string"
 NAMES = [c.split()[0] for c in OUTPUT.split(", ")]
@@ -41,8 +43,9 @@ def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
             continue
         account, outcome, recorded, status, reason = decide(account, row.kind, row.type, cents, row.intent)
         balance, standing = account if account else (None, None)
+        carried = (row.merchant_id, row.currency, row.description)
         results.append(
-            (key[0], row.at, row.id, row.kind, row.type, cents, outcome, recorded, status, reason, balance, standing)
+            (key[0], row.at, row.id, row.kind, row.type, cents, outcome, recorded, status, reason, balance, standing, *carried)
         )
     if account:
         state.update(account)
@@ -64,9 +67,96 @@ def stream_ledger(timeline: DataFrame) -> DataFrame:
     return ledger_result(decided)
 
 
+EVENT = "rank int, kind string, type string, cents bigint, intent string, merchant_id string, currency string, description string"
+HEARTBEAT = "tick"  # kind of a row that only moves event time on
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+class OrderedLedger(StatefulProcessor):
+    """Holds an account's events until the watermark has passed them, then decides them in (time, rank, id) order.
+
+    State of an account: its balance and status, and the events that are still early, by time and id. One timer waits for
+    the earliest of them. A second event of the same time and id takes the place of the first, so a re-delivered one
+    that comes before its time counts once.
+    """
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.account = handle.getValueState("account", STATE)
+        self.early = handle.getMapState("early", "at_us bigint, id string", EVENT)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        row = initialState.iloc[0]
+        self.account.update((int(row["cents"]), row["status"]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        first = None
+        for frame in rows:
+            for row in frame.itertuples(index=False):
+                if row.kind == HEARTBEAT:
+                    continue
+                cents = None if pd.isna(row.cents) else int(row.cents)
+                texts = [None if pd.isna(x) else x for x in (row.kind, row.type, row.intent, row.merchant_id, row.currency, row.description)]
+                self.early.updateValue((row.at_us, row.id), (int(row.rank), texts[0], texts[1], cents, *texts[2:]))
+                first = row.at_us if first is None else min(first, row.at_us)
+        if first is not None:
+            self.handle.registerTimer(-(-first // 1000))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = list(self.early.iterator())
+        due = sorted((at, event[0], event_id, event) for (at, event_id), event in held if at <= passed)
+        waiting = [at for (at, _), _ in held if at > passed]
+        if waiting:
+            self.handle.registerTimer(-(-min(waiting) // 1000))
+        account = self.account.get()
+        account = tuple(account) if account else None
+        results = []
+        for at, _, event_id, (_, kind, txn_type, cents, intent, *carried) in due:
+            self.early.removeKey((at, event_id))
+            if kind == "open":
+                account = account or (cents, txn_type)
+                continue
+            account, *decision = decide(account, kind, txn_type, cents, intent)
+            results.append((key[0], pd.Timestamp(at, unit="us"), event_id, kind, txn_type, cents, *decision, *(account or (None, None)), *carried))
+        if account:
+            self.account.update(account)
+        if results:
+            frame = pd.DataFrame(results, columns=NAMES, dtype=object)
+            yield frame.astype({"at": "datetime64[us]", "cents": "Int64", "balance_cents": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def event_time_ledger(events: DataFrame, accounts: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Decisions for a stream of :func:`ledgerline.operators.ledger.ledger_timeline` rows, in event-time order (output mode `append`).
+
+    `accounts` (id, balance, status) are the balances to start from, read once with the first batch; accounts that appear later open with
+    an `open` row of their own time. An event is decided when the watermark, `delay` behind the newest event, has passed it, so rows
+    may come in any order within the delay and still give the batch ledger's result; rows that come later
+    than that, or have no time, are left out, as a decision once made stands. A stream without new rows holds the last events back;
+    a row of kind `tick` with a later time lets them go.
+    """
+    spark = events.sparkSession
+    ship_package(spark)
+    if "RocksDB" not in spark.conf.get(_STORE):
+        spark.conf.set(_STORE, DEFAULTS[_STORE])
+    timed = events.where("at IS NOT NULL").withColumn("at_us", F.expr("unix_micros(at)")).withWatermark("at", delay)
+    opening = accounts.selectExpr("id AS account_id", "CAST(round(balance * 100) AS BIGINT) AS cents", "status").where("status IS NOT NULL")
+    decided = timed.groupBy("account_id").transformWithStateInPandas(
+        OrderedLedger(), OUTPUT, "append", "EventTime", initialState=opening.groupBy("account_id")
+    )
+    return ledger_result(decided)
+
+
 def wire_timeline(records: DataFrame) -> DataFrame:
-    """Timeline rows from JSON messages (rank, at, id, kind, type, cents, intent, account_id)."""
-    schema = "account_id string, rank int, at timestamp, id string, kind string, type string, cents bigint, intent string"
+    """Timeline rows from JSON messages (rank, at, id, kind, type, cents, intent, account_id, and what a transaction carries)."""
+    schema = (
+        "account_id string, rank int, at timestamp, id string, kind string, type string, cents bigint, intent string, "
+        "merchant_id string, currency string, description string"
+    )
     return records.select(F.from_json("value", schema).alias("m")).select("m.*")
 
 
@@ -112,7 +202,7 @@ def start_ledger(
         )
         accounts = known.unionByName(fresh)
         events = batch.where("kind <> 'open'").selectExpr(
-            "account_id", "at", "id", "kind", "type", "CAST(CAST(cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS amount", "intent"
+            "account_id", "at", "id", "kind", "type", "CAST(CAST(cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS amount", "intent", *CARRIED
         )
         # only accounts with events take part in the fold
         active = accounts.join(events.select(F.col("account_id").alias("id")).distinct(), "id", "left_semi")

@@ -3,13 +3,16 @@ from __future__ import annotations
 import json
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.account import decide
+from ledgerline.functions.folds import ACTIVE, NOTHING, SUSPENDED, Statuses, Summary, decide_runs, decision_columns, read_events
 from ledgerline.operators import ledger as B
 from ledgerline.streaming.ingest import start
-from ledgerline.streaming.ledger import current_balances, start_ledger, stream_ledger, wire_timeline
+from ledgerline.streaming.ledger import HEARTBEAT, current_balances, event_time_ledger, start_ledger, stream_ledger, wire_timeline
 
 EVENTS = "account_id string, t int, id string, kind string, type string, amount string, intent string"
 
@@ -107,15 +110,53 @@ def test_part_count():
 
 
 def test_known_openings_walks_the_summaries():
-    def part(segment, net, need, commands=False):
-        return {"segment": segment, "net": net, "need": need, "commands": commands}
+    def part(segment, net, need, ends=(ACTIVE, SUSPENDED)):
+        return {"segment": segment, "summary": [*ends, net, 0, need, NOTHING]}
 
-    todo = {"a": [part(3, -10, 50), part(4, 5, 90), part(5, 0, 0), part(6, 1, 1)], "m": [part(8, -1, 1), part(9, -1, 1)]}
-    ready, waiting = B.known_openings(todo, {"a": (100, "active")})
-    assert ready == {3: (100, "active"), 4: (90, "active"), 5: (95, "active"), 6: (95, "active"), 8: None, 9: None} and not waiting
+    todo = {"a": [part(3, -10, 50), part(4, 5, 90), part(5, 0, 0), part(6, 1, 1)], "m": [part(8, -1, 1), part(9, -1, 1)], "c": [part(10, 5, 99), part(11, 0, 0)]}
+    ready, waiting = B.known_openings(todo, {"a": (100, "active"), "c": (1, "closed")})
+    assert ready == {3: (100, "active"), 4: (90, "active"), 5: (95, "active"), 6: (95, "active"), 8: None, 9: None, 10: (1, "closed"), 11: (1, "closed")} and not waiting
     ready, waiting = B.known_openings(todo, {"a": (60, "active")})
-    assert ready == {3: (60, "active"), 4: (50, "active"), 8: None, 9: None}
+    assert ready == {3: (60, "active"), 4: (50, "active"), 8: None, 9: None, 10: None, 11: None}
     assert [p["segment"] for p in waiting["a"]] == [5, 6]
+    # commands do not make a part wait: the status an account leaves with does not depend on money
+    commands = {"a": [part(1, -5, 5, ends=(SUSPENDED, ACTIVE)), part(2, -5, 5, ends=(ACTIVE, ACTIVE)), part(3, -5, 5)]}
+    ready, waiting = B.known_openings(commands, {"a": (10, "active")})
+    assert ready == {1: (10, "active"), 2: (5, "suspended"), 3: (5, "active")} and not waiting
+
+
+def test_runs_of_events_equal_single_decisions():
+    rng = random.Random(8)
+    for _ in range(60):
+        groups, rows, want, openings = [], [], [], []
+        for _ in range(rng.randint(1, 6)):
+            account = rng.choice([None, (rng.randrange(500), "active"), (rng.randrange(500), "suspended"), (9, "closed")])
+            groups.append(len(rows))
+            openings.append(account)
+            for _ in range(rng.randint(1, 40)):
+                event = (rng.choice(["txn"] * 6 + ["topup", "suspend", "reactivate", "odd", None]), rng.choice(["purchase", "refund", "deposit", "odd", None]),
+                         rng.choice([None, -5, 0, 10, 100, 200, 10**13]), rng.choice(["completed", "failed", None]))
+                rows.append(event)
+                account, *decision = decide(account, *event)
+                want.append((*decision, *(account or (None, None))))
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.string()))]
+        events, statuses = read_events(pa.RecordBatch.from_arrays(columns, names=["kind", "type", "cents", "intent"])), Statuses()
+        numbers = np.array([statuses.number(o[1] if o else None) for o in openings])
+        made = decide_runs(events, np.array(groups), np.array([o[0] if o else 0 for o in openings]), numbers)
+        assert list(zip(*(c.to_pylist() for c in decision_columns(events, made, statuses).values()))) == want
+        # the summary of a run tells how an account with enough money leaves it
+        ends = [*groups[1:], len(rows)]
+        for first, end, account in zip(groups, ends, openings):
+            if account and account[1] != "closed":
+                summary, k = Summary(), ACTIVE if account[1] == "active" else SUSPENDED
+                middle = rng.randint(first, end)
+                summary.add(events[first:middle])
+                summary.add(events[middle:end])
+                rich = (account[0] + max(summary.needs[k], 0), account[1])
+                for event in rows[first:end]:
+                    rich, outcome, *_ = decide(rich, *event)
+                    assert outcome != "I"
+                assert rich == (account[0] + max(summary.needs[k], 0) + summary.nets[k], ("active", "suspended")[summary.ends[k]])
 
 
 def test_counts_balances_and_rows(spark):
@@ -170,3 +211,38 @@ def test_stream_equals_batch(spark, tmp_path):
     balances = {r.id: r.balance for r in current_balances(spark, paths[1], 99).collect()}
     whole = B.apply_ledger(events(spark, rows), accounts(spark, *opening), 5)
     assert balances == {r.id: r.balance for r in B.closing_balances(whole, accounts(spark, *opening)).collect()}
+
+
+def test_event_time_ledger_equals_batch_whatever_the_batches(spark, tmp_path):
+    rows = random_rows(400, 11, True)
+    opening = [("hot", "300", "active"), *[(f"a{i}", "100", "suspended" if i % 7 == 0 else "active") for i in range(30)]]
+    batch = {r.id: tuple(r) for r in B.apply_ledger(events(spark, rows), accounts(spark, *opening), 5).collect()}
+    shuffled = rows[:]
+    random.Random(2).shuffle(shuffled)
+    (tmp_path / "in").mkdir()
+
+    def put(name, chunk):
+        lines = [{"account_id": a, "rank": 1, "at": f"1970-01-02T{t // 3600:02d}:{t // 60 % 60:02d}:{t % 60:02d}Z", "id": i, "kind": k, "type": y, "cents": round(float(m) * 100), "intent": c} for a, t, i, k, y, m, c in chunk]
+        (tmp_path / "in" / name).write_text("\n".join(map(json.dumps, lines)))
+
+    def run():
+        records = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(tmp_path / "in"))
+
+        def write(df, n):
+            df.write.mode("overwrite").parquet(f"{tmp_path}/out/{n}")
+
+        decided = event_time_ledger(wire_timeline(records), accounts(spark, *opening), "1 hour")
+        start(decided.writeStream.foreachBatch(write), str(tmp_path / "c"), None).awaitTermination()
+        return [r for r in spark.read.parquet(f"{tmp_path}/out/*").collect()]
+
+    put("0.json", shuffled[:150])
+    put("1.json", shuffled[150:300])
+    early = run()
+    put("2.json", shuffled[300:] + [rows[0]])  # and one of them once more
+    put("3.json", [("", 20_000, "", HEARTBEAT, None, "0", None)])
+    put("4.json", [("", 20_001, "", HEARTBEAT, None, "0", None)])
+    got = run()  # a restart: what was decided is not decided again
+    assert len(got) == len(rows) and len(early) < len(rows)
+    day = 86_400
+    shifted = {i: (r[0], r[1].timestamp() + day, *r[2:]) for i, r in batch.items()}
+    assert {r.id: (r.account_id, r["at"].timestamp(), *tuple(r)[2:]) for r in got} == shifted

@@ -271,6 +271,9 @@ def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("CASE event_type WHEN 'signup' THEN 'refund' WHEN 'view' THEN 'transfer' ELSE 'purchase' END").alias("type"),
         (F.col("value") * 3).cast("decimal(18,2)").alias("amount"),
         F.expr("CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END").alias("intent"),
+        F.expr(MERCHANT).alias("merchant_id"),
+        F.expr(CURRENCY).alias("currency"),
+        F.col("props").alias("description"),
     )
 
 
@@ -278,7 +281,12 @@ def ledger_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts with an opening balance; every 15th customer is unknown to the ledger."""
     a = accounts(spark, sf_dir).where(F.col("id").cast("bigint") % 15 != 14)
     quarter = F.expr("CAST(abs(balance) * 100 AS BIGINT) div 4").cast("decimal(18,0)") / 100
-    return a.select("id", quarter.cast("decimal(18,2)").alias("balance"), "status")
+    currency = F.expr("IF(CAST(id AS BIGINT) % 3 = 0, 'USD', 'VND')")
+    return a.select("id", quarter.cast("decimal(18,2)").alias("balance"), "status", currency.alias("currency"))
+
+
+def as_uuid(expr: str) -> str:
+    return f"concat('00000000-0000-4000-8000-', lpad({expr}, 12, '0'))"
 
 
 def intents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,6 +294,8 @@ def intents(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").cast("string").alias("id"),
+        F.col("ts").alias("at"),
+        F.lit(None).cast("string").alias("description"),
         F.expr(
             "CASE WHEN event_id % 11 = 0 THEN concat('acct-', CAST(user_id AS STRING)) "
             "ELSE concat('00000000-0000-4000-8000-', lpad(CAST(user_id AS STRING), 12, '0')) END"

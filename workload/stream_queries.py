@@ -21,7 +21,7 @@ from ledgerline.sources.changes import cdc_source, parse_flat
 from ledgerline.sources.logs import read_log, version_log_sink
 from ledgerline.streaming.detect import stream_detect, stream_rule_windows, tumbling_minutes
 from ledgerline.streaming.ingest import dedup_replays, start, stream_ingest
-from ledgerline.streaming.ledger import start_ledger, wire_timeline
+from ledgerline.streaming.ledger import HEARTBEAT, event_time_ledger, start_ledger, wire_timeline
 from ledgerline.streaming.state import read_state_table, start_state_table
 from workload import adapters as A
 from workload.adapters import AS_OF, RULES, out, with_views
@@ -196,6 +196,20 @@ def streamed_ledger(s, d):
     return out(s.read.parquet(run.path("decided")).drop("batch_id"))
 
 
+def ordered_ledger(s, d):
+    """The ledger by event time, over micro-batches that hold the events in no order at all."""
+    run = Run(s)
+    events = B.ledger_timeline(A.ledger_events(s, d), A.ledger_accounts(s, d).limit(0))
+    last = events.agg(F.max("at").alias("at")).selectExpr("explode(array(at + INTERVAL 41 DAYS, at + INTERVAL 42 DAYS)) AS at", "'' AS account_id", "'' AS id")
+    beats = last.selectExpr("*", f"'{HEARTBEAT}' AS kind", "1 AS rank")
+    precise = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    parts = [events.where(f"pmod(xxhash64(id), 3) = {k}") for k in range(3)] + [beats, beats]
+    for rows in parts:  # one micro-batch each
+        rows.select(F.to_json(F.struct("*"), precise).alias("value")).coalesce(1).write.mode("append").text(run.path("in"))
+    stream = wire_timeline(s.readStream.format("text").option("maxFilesPerTrigger", 1).load(run.path("in")))
+    return out(run.append(event_time_ledger(stream, A.ledger_accounts(s, d), "40 days"), "decided").drop("batch_id"))
+
+
 TYPED_LIST = ", ".join(TYPED_NAMES)
 QUERIES = {
     "cdc_source": (
@@ -267,4 +281,5 @@ FROM events, (VALUES ('log'), ('compacted')) v(read_from) WHERE event_id % 10 <>
         ),
     ),
     "stream_ledger": (streamed_ledger, fold_sql("SELECT * EXCLUDE (n) FROM decided")),
+    "stream_ledger_event_time": (ordered_ledger, fold_sql("SELECT * EXCLUDE (n) FROM decided")),
 }
