@@ -49,12 +49,26 @@ def sort_columns(rows: DataFrame) -> list[str]:
     return [c for c in ("account_id", "created_at", "id") if c in rows.columns]
 
 
-def version_log_sink(path: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None):
-    """`foreachBatch` function that appends a batch of typed rows to the version log."""
+def version_log_sink(
+    path: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    table: TableSpec | None = None,
+    publish_every: int | None = None,
+):
+    """`foreachBatch` function that appends a batch of typed rows to the version log.
+
+    With `publish_every`, every so many batches of a `table` a generation is published, so that readers open no more files after
+    a year than after a day (:mod:`ledgerline.sources.generations`).
+    """
+    from ledgerline.sources.generations import version_log
+
     writer = writer_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append_versions(prepare(batch) if prepare else batch, path, writer, batch_id)
+        if publish_every and (batch_id + 1) % publish_every == 0:
+            version_log(batch.sparkSession, path, table).publish({writer: batch_id})
 
     return write
 

@@ -18,7 +18,8 @@ from ledgerline.operators.typing import type_rows
 from ledgerline.schemas import FRAUD_ALERTS, TRANSACTIONS
 from ledgerline.session import shared_dir
 from ledgerline.sources.changes import cdc_source, parse_flat
-from ledgerline.sources.logs import read_log, version_log_sink
+from ledgerline.sources.generations import version_log
+from ledgerline.sources.logs import append_versions, read_log, version_log_sink
 from ledgerline.streaming.detect import stream_detect, stream_rule_windows, tumbling_minutes
 from ledgerline.streaming.ingest import dedup_replays, start, stream_ingest
 from ledgerline.streaming.ledger import HEARTBEAT, event_time_ledger, start_ledger, wire_timeline
@@ -100,6 +101,21 @@ def state_from_log(s, d):
     return out(states[0].unionByName(states[1]))
 
 
+def from_generations(s, d):
+    """Changes in four batches with generations published between them, read back as generation and tail, and once as of the generation before."""
+    run = Run(s)
+    log = version_log(s, run.path("log"), TRANSACTIONS)
+    rows = A.versions(s, d)
+    for batch, part in enumerate(("cdc_op = 'c' AND _partition < 3", "cdc_op = 'c' AND _partition >= 3", "cdc_op = 'u'", "cdc_op = 'd'")):
+        append_versions(rows.where(part), run.path("log"), "supplied", batch)
+        if batch in (1, 2):
+            log.publish({"supplied": batch})
+    columns = ("id", "account_id", "amount", "status", "_source_ts_ms")
+    now = latest_state(log.read()).select(F.lit("now").alias("read_from"), *columns)
+    earlier = latest_state(log.read(log.manifest(1))).select(F.lit("earlier").alias("read_from"), *columns)
+    return out(now.unionByName(earlier))
+
+
 def sunk(s, d):
     """Typed messages through the version-log sink: rows per month folder."""
     run = Run(s)
@@ -232,6 +248,14 @@ QUERIES = {
   CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount, 'failed' AS status, event_id // 6 * 3 + 2 AS _offset
 FROM events, (VALUES ('log'), ('compacted')) v(read_from) WHERE event_id % 10 <> 9""",
     ),
+    "log_generations": (
+        from_generations,
+        with_views(
+            "SELECT read_from, id, account_id, CAST(amount AS DOUBLE) AS amount, status, source_ts_ms + 1000 AS _source_ts_ms "
+            "FROM txn, (VALUES ('now'), ('earlier')) v(read_from) WHERE event_id % 10 <> 9",
+            "txn",
+        ),
+    ),
     "version_log_sink": (
         sunk,
         with_views(
