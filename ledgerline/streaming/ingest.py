@@ -72,9 +72,15 @@ def stream_ingest(
 def dedup_replays(versions: DataFrame, key: tuple[str, ...] = ("id",), delay: str = "1 hour") -> DataFrame:
     """Drop re-delivered copies of a version that arrive within `delay` of each other.
 
-    Time is the time of arrival, so no row is ever late: an old version that
-    arrives for the first time passes, however far behind it is.
+    A copy has the key, commit time, operation and content of what came before, perhaps at another offset. Changes that
+    one source transaction makes to a row share their commit time but differ in content, and all pass. (One that leads back to the very content of
+    an earlier change of the same transaction cannot be told from a copy.) Time is the time of arrival, so no row is ever late: an
+    old version that arrives for the first time passes, however far behind it is.
     """
-    timed = versions.withColumn("_arrived_at", F.current_timestamp())
-    unique = timed.withWatermark("_arrived_at", delay).dropDuplicatesWithinWatermark([*key, "_source_ts_ms"])
-    return unique.drop("_arrived_at")
+    content = [c for c in versions.columns if not c.startswith("_")]
+    timed = versions.withColumns(
+        {"_arrived_at": F.current_timestamp(), "_content": F.struct(F.xxhash64(*content), F.xxhash64(F.lit("k"), *content))}
+    )
+    known = [*key, "_source_ts_ms", *[c for c in ("cdc_op",) if c in versions.columns], "_content"]
+    unique = timed.withWatermark("_arrived_at", delay).dropDuplicatesWithinWatermark(known)
+    return unique.drop("_arrived_at", "_content")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,9 @@ from workload.rule_queries import T as NOW
 from workload.state_queries import TYPED
 
 
+BROKEN = 1000  # of 65,536 messages: one in 97 is broken
+
+
 class Run:
     """Folders of one streaming run."""
 
@@ -82,14 +86,26 @@ def ingest(run: Run, records: DataFrame, checkpoint: str = "ingest-checkpoint",
 
 
 def ingested(s, d):
-    """Messages, some broken, to the version log; the dead letters are kept apart."""
+    """Messages, one in 97 broken, to the version log; the dead letters are kept apart."""
     run = Run(s)
-    log = ingest(run, run.messages(A.wire_records(s, d, broken=True, every=7919)))
+    log = ingest(run, run.messages(A.wire_records(s, d, broken=True)), max_corrupt=BROKEN)
     good = log.select(*TYPED_NAMES)
     dead = s.read.parquet(run.path("dead")).select(F.lit("dead").alias("id"), F.col("_corrupt_record").alias("description"))
     return out(good.unionByName(dead, allowMissingColumns=True))
 
 
+def refused(s, d):
+    """More broken messages than the default tolerance: the batch fails, its dead letters are kept, the log stays empty."""
+    run = Run(s)
+    try:
+        log = ingest(run, run.messages(A.wire_records(s, d, broken=True, every=31)))
+        failed = False
+    except StreamingQueryException:
+        log, failed = read_log(s, run.path("log"), TRANSACTIONS), True
+    dead = s.read.parquet(run.path("dead")).agg(F.count(F.lit(1)).alias("dead"))
+    return out(dead.crossJoin(log.agg(F.count(F.lit(1)).alias("stored"))).withColumn("failed", F.lit(failed)))
+
+
 def state_from_log(s, d):
     """Changes with one commit time through the stored log, and again through its compacted form."""
     run = Run(s)
@@ -142,6 +158,13 @@ def deduplicated(s, d):
     return out(run.append(dedup_replays(versions).select(*TYPED_NAMES), "rows").drop("batch_id"))
 
 
+def tied_once(s, d):
+    """Three changes of a row in one source transaction, each delivered twice: all three are kept, once."""
+    run = Run(s)
+    versions = type_rows(parse_flat(run.messages(A.tied_records(s, d), copies=2), TRANSACTIONS).drop("_corrupt_record"), TRANSACTIONS)
+    return out(run.append(dedup_replays(versions).select("id", "account_id", "amount", "status", "cdc_op", "_source_ts_ms"), "rows").drop("batch_id"))
+
+
 def log_stream(run: Run, s, d) -> DataFrame:
     """The version log as a stream of files."""
     log = A.cdc_log(s, d)
@@ -236,8 +259,8 @@ QUERIES = {
     "stream_ingest": (
         ingested,
         with_views(
-            f"SELECT {TYPED_LIST} FROM typed WHERE event_id % 7919 <> 5 AND event_id % 89 <> 7 UNION ALL "
-            "SELECT 'dead', NULL, NULL, NULL, NULL, NULL, NULL, '{bad', NULL, NULL, NULL, NULL FROM events WHERE event_id % 7919 = 5",
+            f"SELECT {TYPED_LIST} FROM typed WHERE event_id % 97 <> 5 AND event_id % 89 <> 7 UNION ALL "
+            "SELECT 'dead', NULL, NULL, NULL, NULL, NULL, NULL, '{bad', NULL, NULL, NULL, NULL FROM events WHERE event_id % 97 = 5",
             "txn",
             extra=(TYPED,),
         ),
@@ -266,6 +289,17 @@ FROM events, (VALUES ('log'), ('compacted')) v(read_from) WHERE event_id % 10 <>
     ),
     "stream_replay": (replayed, with_views(f"SELECT {TYPED_LIST} FROM typed WHERE cdc_op <> 'd'", "txn", extra=(TYPED,))),
     "dedup_replays": (deduplicated, with_views(f"SELECT {TYPED_LIST} FROM typed", "txn", extra=(TYPED,))),
+    "dedup_replays_tied": (
+        tied_once,
+        """SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS account_id, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+  CASE step WHEN 0 THEN 'pending' WHEN 1 THEN 'completed' ELSE 'failed' END AS status,
+  CASE WHEN step = 0 THEN 'c' WHEN step = 2 AND event_id % 10 = 9 THEN 'd' ELSE 'u' END AS cdc_op, epoch_us(ts) // 1000 AS _source_ts_ms
+FROM events, range(3) r(step)""",
+    ),
+    "stream_ingest_refused": (
+        refused,
+        "SELECT count(*) AS dead, CAST(0 AS BIGINT) AS stored, true AS failed FROM events WHERE event_id % 31 = 5",
+    ),
     "latest_state_stream": (
         maintained,
         with_views(
