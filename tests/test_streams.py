@@ -1,16 +1,18 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from helpers import AS_OF, same, txns, values
 from pyspark.errors import StreamingQueryException
 
 from ledgerline.operators.state import latest_state
+from ledgerline.params import RuleSet, Velocity
 from ledgerline.schemas import FRAUD_ALERTS, TRANSACTIONS
 from ledgerline.sources.changes import cdc_source
 from ledgerline.sources.logs import append_versions, log_since, read_log
-from ledgerline.streaming.detect import stream_detect, stream_rule_windows
+from ledgerline.streaming.detect import repaired_windows, rule_windows, stream_detect, stream_rule_windows
 from ledgerline.streaming.ingest import start, stream_ingest
 from ledgerline.streaming.state import read_state_table, start_state_table
 
@@ -126,14 +128,44 @@ def test_event_time_windows(spark, folder):
     rows = [(f"v{i}", "v", 1, i) for i in range(11)] + [(f"m{c}", "m", 1, 5, {"currency": c}) for c in ("VND", "USD", "EUR")]
     rows += [(f"f{i}", "f", 1, 5, {"status": "failed"}) for i in range(3)]
     t = txns(spark, rows)
-    t.write.parquet(folder.txn)
-    stream = spark.readStream.schema(t.schema).parquet(folder.txn)
+    t.coalesce(1).write.parquet(folder.txn)
+    for days in (-1, -2):  # later rows let go of what came before
+        txns(spark, [("x", "x", 1, 86_400 * days)]).coalesce(1).write.mode("append").parquet(folder.txn)
+    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(folder.txn)
     for code, flagged in stream_rule_windows(stream).items():
         out = getattr(folder, code)
 
         def write(df, n, out=out):
             df.write.mode("overwrite").parquet(f"{out}/{n}")
 
-        start(flagged.writeStream.outputMode("update").foreachBatch(write), getattr(folder, f"{code}-c"), None).awaitTermination()
-        accounts = {r.account_id for r in spark.read.parquet(f"{out}/*").collect()}
-        assert accounts == {code[0].lower()}, code
+        start(flagged.writeStream.outputMode("append").foreachBatch(write), getattr(folder, f"{code}-c"), None).awaitTermination()
+        told = spark.read.parquet(f"{out}/*")
+        assert {r.account_id for r in told.collect()} == {code[0].lower()}, code
+        assert same(told, rule_windows(t)[code])
+
+
+def brute_windows(rows, window_s, pane_s):
+    """(account, start) -> rows in the window, for all windows with a row."""
+    out = {}
+    for account, at in rows:
+        first = at // pane_s * pane_s
+        for k in range(window_s // pane_s):
+            out.setdefault((account, first - k * pane_s), []).append(at)
+    return out
+
+
+def test_windows_and_their_repair_equal_brute_force(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice("aaabc"), rnd.randrange(4000)) for _ in range(400)]
+    rules = RuleSet(velocity=Velocity(window_s=300, max_count=12))
+    made = spark.createDataFrame([(a, t, k % 4 == 0) for k, (a, t) in enumerate(rows)], "account_id string, t int, late boolean").selectExpr(
+        "account_id", "timestamp_seconds(t) AS created_at", "late", "CAST(1 AS DECIMAL(18,2)) AS amount", "'VND' AS currency", "'failed' AS status"
+    )
+    want = {(a, s, len(x)) for (a, s), x in brute_windows(rows, 300, 30).items() if len(x) > 12}
+    shown = lambda df: {(r.account_id, int(r.window_start.timestamp()), r.txn_count) for r in df.collect()}
+    assert shown(rule_windows(made, rules)["VELOCITY"]) == want and len(want) > 20
+    told = rule_windows(made.where("NOT late"), rules)["VELOCITY"]
+    assert shown(told) != want
+    assert shown(repaired_windows(told, made, made.where("late"), "VELOCITY", rules)) == want
+    with pytest.raises(ValueError, match="not made of panes"):
+        rule_windows(made, rules, 7)

@@ -21,7 +21,7 @@ from ledgerline.session import shared_dir
 from ledgerline.sources.changes import cdc_source, parse_flat
 from ledgerline.sources.generations import version_log
 from ledgerline.sources.logs import append_versions, read_log, version_log_sink
-from ledgerline.streaming.detect import stream_detect, stream_rule_windows, tumbling_minutes
+from ledgerline.streaming.detect import repaired_windows, rule_windows, stream_detect, stream_rule_windows, tumbling_minutes
 from ledgerline.streaming.ingest import dedup_replays, start, stream_ingest
 from ledgerline.streaming.ledger import HEARTBEAT, event_time_ledger, start_ledger, wire_timeline
 from ledgerline.streaming.state import read_state_table, start_state_table
@@ -207,14 +207,49 @@ def txn_stream(run: Run, s, d) -> DataFrame:
     return s.readStream.schema(rows.schema).parquet(run.path("txn"))
 
 
-def windows(s, d):
-    """The velocity rule over daily windows sliding by six hours, last update per window."""
-    run = Run(s)
-    by_rule = stream_rule_windows(txn_stream(run, s, d), RULES, delay="40 days", slide="6 hours")
-    rows = run.append(by_rule["VELOCITY"], "windows", "update")
-    keys = ["rule_code", "account_id", "window_start", "window_end"]
-    last = rows.groupBy(*keys).agg(F.max(F.struct("batch_id", "txn_count", "total_amount")).alias("l"))
-    return out(last.select(*keys, "l.txn_count", "l.total_amount"))
+PANE_S = 6 * 3600
+
+
+def windows(code):
+    """A rule over windows of days that slide by six hours; a last row far ahead lets the stream tell all of them."""
+
+    def run_stream(s, d):
+        run = Run(s)
+        rows = A.txn(s, d).select("id", "account_id", "amount", "currency", "type", "status", "created_at")
+        ahead = rows.agg(F.max("created_at").alias("last")).selectExpr(
+            "'' AS id", "'' AS account_id", "CAST(0 AS DECIMAL(18,2)) AS amount", "'VND' AS currency", "'' AS type", "'' AS status",
+            "explode(array(last + INTERVAL 50 DAYS, last + INTERVAL 100 DAYS)) AS created_at",
+        )
+        for part in (rows, ahead):
+            part.coalesce(1).write.mode("append").parquet(run.path("txn"))
+        stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(run.path("txn"))
+        told = run.append(stream_rule_windows(stream, RULES, "40 days", PANE_S)[code], "windows").drop("batch_id")
+        told = told.where("account_id <> ''")
+        return out(told.withColumn("currencies", F.array_join("currencies", ",")) if code == "MULTI_CCY" else told)
+
+    return run_stream
+
+
+def repaired(s, d):
+    """The velocity rule where a third of the rows came too late, put right by a batch pass."""
+    txns = A.txn(s, d)
+    is_late = "CAST(id AS BIGINT) % 3 = 0"
+    told = rule_windows(txns.where(f"NOT ({is_late})"), RULES, PANE_S)["VELOCITY"]
+    return out(repaired_windows(told, txns, txns.where(is_late), "VELOCITY", RULES, PANE_S))
+
+
+def windows_sql(days, columns, having):
+    return with_views(
+        f"""SELECT * FROM (SELECT account_id, w AS window_start, w + INTERVAL {24 * days} HOUR AS window_end, {columns} FROM (
+    SELECT account_id, amount, currency, status, time_bucket(INTERVAL 6 HOUR, created_at, TIMESTAMP '1970-01-01 00:00:00') - to_hours(6 * CAST(i AS INTEGER)) AS w
+    FROM txn, range({4 * days}) r(i)) GROUP BY account_id, w) WHERE {having}""",
+        "txn",
+    )
+
+
+VELOCITY_WINDOWS = windows_sql(
+    1, "'VELOCITY' AS rule_code, count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS total_amount", "txn_count > 5 OR total_amount > 300"
+)
 
 
 def minutes(s, d):
@@ -322,16 +357,26 @@ FROM events, range(3) r(step)""",
             "SELECT rule_code, 'open' AS status, count(*) AS cases FROM cases GROUP BY rule_code", *RULE_VIEWS, extra=(*ALL_FLAGS, PAYLOADS, CASES)
         ),
     ),
-    "stream_rule_windows": (
-        windows,
-        with_views(
-            """SELECT 'VELOCITY' AS rule_code, account_id, w AS window_start, w + INTERVAL 24 HOUR AS window_end, count(*) AS txn_count,
-  CAST(sum(amount) AS DOUBLE) AS total_amount FROM (
-    SELECT account_id, amount, time_bucket(INTERVAL 6 HOUR, created_at, TIMESTAMP '1970-01-01 00:00:00') - to_hours(6 * CAST(i AS INTEGER)) AS w FROM txn, range(4) r(i))
-  GROUP BY account_id, w HAVING count(*) > 5 OR sum(amount) > 300""",
-            "txn",
+    "stream_rule_windows": (windows("VELOCITY"), VELOCITY_WINDOWS),
+    "stream_rule_windows_currencies": (
+        windows("MULTI_CCY"),
+        windows_sql(
+            1,
+            "'MULTI_CCY' AS rule_code, count(*) AS txn_count, string_agg(DISTINCT currency, ',' ORDER BY currency) AS currencies, "
+            "count(DISTINCT currency) AS used",
+            "used > 2",
+        ).replace("SELECT * FROM (SELECT account_id", "SELECT * EXCLUDE (used) FROM (SELECT account_id"),
+    ),
+    "stream_rule_windows_failures": (
+        windows("FAIL_SPIKE"),
+        windows_sql(
+            2,
+            "'FAIL_SPIKE' AS rule_code, count(*) FILTER (WHERE status = 'failed') AS failed_count, count(*) AS total_count, "
+            "round_even(CAST(count(*) FILTER (WHERE status = 'failed') AS DOUBLE) / count(*) * 100, 1) AS fail_rate_pct",
+            "failed_count >= 2 AND fail_rate_pct > 30",
         ),
     ),
+    "repaired_windows": (repaired, VELOCITY_WINDOWS),
     "stream_tumbling_minutes": (
         minutes,
         with_views(
