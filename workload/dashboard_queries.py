@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from ledgerline.operators import dashboards as D
 from ledgerline.operators import lookups as L
 from ledgerline.operators import topics as K
+from ledgerline.operators.history import velocity_any_window
+from ledgerline.operators.reconcile import differences
+from ledgerline.operators.sketches import RANK_ERROR, delay_sketches, merged_quantiles
 from workload import adapters as A
-from workload.adapters import AS_OF, DAY, out, with_views
+from workload.adapters import AS_OF, DAY, RULES, out, with_views
 from workload.rule_queries import T, rounded, stamp
 
 MONTH = 30 * DAY
@@ -101,7 +104,61 @@ def top(s, d, **kw):
     return out(D.top_merchants(A.txn(s, d), A.merchants(s, d), AS_OF, window_s=MONTH, **kw))
 
 
+def any_window(s, d):
+    return out(velocity_any_window(A.txn(s, d), RULES.velocity, 2 * DAY))
+
+
+def merged(s, d):
+    """Quantiles of each day from the sketches of its minutes, and whether their ranks among the day's delays are as exact as stated."""
+    log = A.txn(s, d)
+    sketches = delay_sketches(log)
+    points = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    days = merged_quantiles(sketches, "2024-01-01 00:00:00", "2024-02-01 00:00:00", tuple(points.values()), by_s=DAY)
+    lags = D.pipeline_lag(log).select(F.date_trunc("day", "_ingested_at").alias("day"), D.LAG)
+    ranked = lags.join(days, lags["day"] == days["time"]).groupBy("time", "rows")
+    below = [F.count_if(F.col(D.LAG) < F.col(p)).alias(f"less_{p}") for p in points] + [F.count_if(F.col(D.LAG) <= F.col(p)).alias(f"most_{p}") for p in points]
+    near = [f"(less_{p} <= ({q} + {RANK_ERROR}) * rows + 1 AND most_{p} >= ({q} - {RANK_ERROR}) * rows - 1) AS {p}_near" for p, q in points.items()]
+    return out(ranked.agg(*below).selectExpr("time", "rows", *near))
+
+
+def damaged(s, d):
+    """The state of transactions against a copy in which some rows are lost, changed or repeated: the keys that differ."""
+    rows = A.txn(s, d).select("id", "account_id", "merchant_id", "amount", "currency", "type", "status", "created_at")
+    number = F.col("id").cast("bigint")
+    copy = rows.where(number % 997 != 3)
+    copy = copy.withColumn("amount", F.when(number % 991 == 5, F.lit(0).cast("decimal(18,2)")).otherwise(F.col("amount")))
+    copy = copy.withColumn("merchant_id", F.when(number % 983 == 7, F.lit(None)).otherwise(F.col("merchant_id")))
+    return out(differences(rows, copy.unionByName(copy.where(number % 977 == 11))))
+
+
 QUERIES = {
+    "velocity_any_window": (
+        any_window,
+        with_views(
+            """SELECT account_id, max(n) AS peak_count, CAST(max(total) AS DOUBLE) AS peak_amount, min(created_at) FILTER (WHERE n > 5 OR total > 300) AS first_over,
+  count(DISTINCT created_at) FILTER (WHERE n > 5 OR total > 300) AS times_over
+FROM (SELECT account_id, created_at, count(*) OVER w AS n, sum(amount) OVER w AS total FROM txn
+      WINDOW w AS (PARTITION BY account_id ORDER BY created_at RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW))
+GROUP BY account_id HAVING times_over > 0""",
+            "txn",
+        ),
+    ),
+    "merged_quantiles": (
+        merged,
+        with_views(
+            "SELECT date_trunc('day', ingested_at) AS time, count(*) AS rows, true AS p50_ms_near, true AS p95_ms_near, true AS p99_ms_near FROM txn "
+            "WHERE ingested_at >= TIMESTAMP '2024-01-01 00:00:00' AND ingested_at < TIMESTAMP '2024-02-01 00:00:00' GROUP BY 1",
+            "txn",
+        ),
+    ),
+    "reconcile_differences": (
+        damaged,
+        with_views(
+            """SELECT id, 1 AS left_rows, CASE WHEN event_id % 997 = 3 THEN 0 WHEN event_id % 977 = 11 THEN 2 ELSE 1 END AS right_rows FROM txn
+WHERE event_id % 997 = 3 OR (event_id % 991 = 5 AND amount <> 0) OR event_id % 983 = 7 OR event_id % 977 = 11""",
+            "txn",
+        ),
+    ),
     "volume_per_minute": (
         at(D.volume_per_minute, AS_OF, MONTH),
         with_views(

@@ -25,6 +25,7 @@ from ledgerline.streaming.detect import repaired_windows, rule_windows, stream_d
 from ledgerline.streaming.ingest import dedup_replays, start, stream_ingest
 from ledgerline.streaming.ledger import HEARTBEAT, event_time_ledger, start_ledger, wire_timeline
 from ledgerline.streaming.state import read_state_table, start_state_table
+from ledgerline.streaming.views import read_volume_view, start_volume_view
 from workload import adapters as A
 from workload.adapters import AS_OF, RULES, out, with_views
 from workload.alert_queries import CASES, RULE_VIEWS
@@ -117,6 +118,17 @@ def state_from_log(s, d):
     return out(states[0].unionByName(states[1]))
 
 
+def viewed(s, d):
+    """Volume per minute kept from changes that come in no order, some of them twice."""
+    run = Run(s)
+    rows = A.versions(s, d)
+    for part in ("_partition % 3 = 0", "_partition % 3 = 1 OR _partition = 0", "cdc_op <> 'c'", "_partition % 3 = 2"):
+        rows.where(part).coalesce(1).write.mode("append").parquet(run.path("versions"))
+    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(run.path("versions"))
+    run.finish(start_volume_view(stream, run.path("view"), run.path("view-checkpoint"), trigger=None))
+    return out(read_volume_view(s, run.path("view")))
+
+
 def from_generations(s, d):
     """Changes in four batches with generations published between them, read back as generation and tail, and once as of the generation before."""
     run = Run(s)
@@ -306,6 +318,15 @@ QUERIES = {
   CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount, 'failed' AS status, event_id // 6 * 3 + 2 AS _offset
 FROM events, (VALUES ('log'), ('compacted')) v(read_from) WHERE event_id % 10 <> 9""",
     ),
+    "volume_view": (
+        viewed,
+        with_views(
+            "SELECT date_trunc('minute', created_at) AS minute, count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS total_amount, "
+            "count(*) FILTER (WHERE status = 'failed') AS failed_count, count(*) FILTER (WHERE status = 'flagged') AS flagged_count "
+            "FROM txn WHERE event_id % 10 <> 9 GROUP BY 1",
+            "txn",
+        ),
+    ),
     "log_generations": (
         from_generations,
         with_views(
