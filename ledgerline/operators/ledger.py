@@ -234,17 +234,18 @@ def part_count(rows: int, parallel: int) -> int:
     return max(1, min(parallel, -(-rows // SMALL_PART)), -(-rows // LARGE_PART))
 
 
-def apply_ledger(events: DataFrame, accounts: DataFrame, parts: int | None = None) -> DataFrame:
+def apply_ledger(events: DataFrame, accounts: DataFrame, parts: int | None = None, folder: str | None = None) -> DataFrame:
     """Every event with its decision and the balance after it.
 
     Runs the parts eagerly and keeps their results under the shared folder, so an
     executor lost later costs a re-read and not the fold; what was set aside meanwhile is removed. What the driver sees is
-    at most two small rows per part. An account without a status counts as unknown.
+    at most two small rows per part. An account without a status counts as unknown. `folder` names the place of the results, for a
+    caller who removes it later.
     """
     spark = events.sparkSession
     ship_package(spark)
     count = parts or part_count(events.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    folder = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    folder = folder or f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
     timeline = (
         ledger_timeline(events, accounts)
         .repartitionByRange(count, *ORDER)

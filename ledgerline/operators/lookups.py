@@ -12,6 +12,7 @@ from ledgerline.functions.skew import salted_join
 from ledgerline.functions.timing import Instant, stamp_text
 from ledgerline.functions.values import UUID_PATTERN
 from ledgerline.operators.alerts import open_alerts_24h
+from ledgerline.operators.state import latest_state
 
 # ---- fixed values: page sizes ----
 LIVE_ROWS, SINCE_ROWS, HISTORY_ROWS = 20, 100, 20
@@ -93,6 +94,35 @@ def transactions_since(
     )
 
 
+def since_from_log(
+    log: DataFrame, cursor: str | int | None, limit: int = SINCE_ROWS, highlight_above: float = HIGHLIGHT_ABOVE
+) -> DataFrame:
+    """The same page from the stored versions.
+
+    Versions before the cursor are left out before the newest are chosen, which changes nothing: the newest version of a
+    row on the page comes after the cursor itself. The bound reaches the scan.
+    """
+    time, _ = cursor_value(cursor)
+    return transactions_since(latest_state(log.where(F.col("_source_ts_ms") >= time)), cursor, limit, highlight_above)
+
+
+def live_from_log(
+    log: DataFrame, accounts: DataFrame, merchants: DataFrame, as_of_ms: int, limit: int = LIVE_ROWS, window_ms: int = 60_000
+) -> DataFrame:
+    """The newest transactions up to an instant, from the stored versions.
+
+    Looks back a minute, and eight times as far until enough rows are found or everything was seen: the newest rows
+    are those of the newest versions, so a time that holds enough of them holds all that are wanted.
+    """
+    until = log.where(F.col("_source_ts_ms") <= as_of_ms)
+    while window_ms < as_of_ms:
+        recent = latest_state(until.where(F.col("_source_ts_ms") > as_of_ms - window_ms))
+        if recent.limit(limit).count() == limit:
+            return live_transactions(recent, accounts, merchants, limit)
+        window_ms *= 8
+    return live_transactions(latest_state(until), accounts, merchants, limit)
+
+
 def require_uuid(value: str) -> str:
     if not re.match(UUID_PATTERN, value):
         raise ValueError("invalid uuid")

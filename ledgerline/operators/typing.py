@@ -63,7 +63,7 @@ def type_rows(flat: DataFrame, table: TableSpec, truncate_seconds: bool = False)
             return F.when(blank(c), commit).otherwise(t) if kind == STAMP else t
         return c
 
-    extra = [c for c in ("_partition", "_offset") if c in flat.columns]
+    extra = [c for c in ("_partition", "_offset", "_rest") if c in flat.columns]
     return flat.select(
         *[typed(c, k).alias(c) for c, k in table.columns.items()],
         F.col("__op").alias("cdc_op"),
@@ -72,6 +72,22 @@ def type_rows(flat: DataFrame, table: TableSpec, truncate_seconds: bool = False)
     )
 
 
+def promote(log: DataFrame, table: TableSpec) -> DataFrame:
+    """Stored versions with the columns of a newer declaration of their table, also where they were written before it.
+
+    A column without a value is taken from the variant `_rest`, typed like a message's field, except that a missing time stays
+    missing. What the declaration names is taken out of sight there: `_rest` stays as it was stored. A value of another kind,
+    such as an object for a number, is null.
+    """
+
+    def kept(name: str, kind: str) -> Column:
+        text = F.try_variant_get("_rest", f"$.{name}", "string")
+        typed = {AMOUNT: text.try_cast(MONEY), WHOLE: text.try_cast("int"), STAMP: wire_instant(text), STAMP_OR_NULL: wire_instant(text)}.get(kind, text)
+        return F.coalesce(F.col(name), typed) if name in log.columns else typed
+
+    return log.withColumns({name: kept(name, kind) for name, kind in table.columns.items()})
+
+
 def type_transactions(flat: DataFrame, **kw) -> DataFrame:
     return type_rows(flat, TRANSACTIONS, **kw)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from ledgerline.schemas import TOPIC_RECORD, TableSpec
 
 CORRUPT = "_corrupt_record"
+REST = "_rest"  # what a message holds beyond the declared columns
 EMPTY = "(empty message)"
 # ---- fixed values: broken messages tolerated in so many messages ----
 MAX_CORRUPT = 10
@@ -68,17 +71,27 @@ def cdc_source(
     )
 
 
-def parse_flat(records: DataFrame, table: TableSpec, value: str = "value") -> DataFrame:
+def parse_flat(records: DataFrame, table: TableSpec, value: str = "value", remainder: bool = False) -> DataFrame:
     """Flat change messages as declared columns; undeclared JSON fields are ignored.
 
     Adds `_corrupt_record` (the text of a message that is not valid JSON) and
-    `_partition` and `_offset` where the records have them.
+    `_partition` and `_offset` where the records have them. With `remainder` the undeclared fields are
+    kept in a VARIANT column `_rest`, which is null where there are none;
+    :func:`ledgerline.operators.typing.promote` makes columns of them once a schema declares them.
     """
     schema = table.wire_schema().add(CORRUPT, T.StringType())
-    return exploded(records, schema, value)
+    return exploded(records, schema, value, [undeclared(table, value)] if remainder else [])
+
+
+def undeclared(table: TableSpec, value: str) -> Column:
+    """The fields of a JSON text that a table does not declare, as one variant object."""
+    names = ", ".join(f"'{c}'" for c in table.wire_schema().names)
+    fields = f"try_cast(try_parse_json({value}) AS MAP<STRING, VARIANT>)"
+    others = f"map_filter({fields}, (name, x) -> NOT array_contains(array({names}), name))"
+    return F.expr(f"transform(array({others}), m -> IF(size(m) > 0, to_variant_object(m), NULL))[0]").alias(REST)
 
 
-def exploded(records: DataFrame, schema: T.StructType, value: str) -> DataFrame:
+def exploded(records: DataFrame, schema: T.StructType, value: str, more: Sequence[Column] = ()) -> DataFrame:
     """The fields of each JSON value as columns; records without a value are dropped.
 
     `inline` parses every message once: a later filter on a field stays above it,
@@ -88,7 +101,7 @@ def exploded(records: DataFrame, schema: T.StructType, value: str) -> DataFrame:
     text = F.when(F.trim(value) == "", F.lit(EMPTY)).otherwise(F.col(value))
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     keep = [F.col(c).alias(f"_{c}") for c in POSITION if c in records.columns]
-    return records.select(*keep, F.inline(F.when(F.col(value).isNotNull(), F.array(parsed))))
+    return records.select(*keep, *more, F.inline(F.when(F.col(value).isNotNull(), F.array(parsed))))
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -73,9 +73,11 @@ def version_log_sink(
     return write
 
 
-def read_log(spark: SparkSession, path: str, table: TableSpec) -> DataFrame:
-    """The typed version log; an absent or still empty log reads as no rows."""
-    schema = table.state_schema().add("yyyymm", T.IntegerType()).add("writer", T.StringType()).add("batch_id", T.LongType())
+def read_log(spark: SparkSession, path: str, table: TableSpec, remainder: bool = False) -> DataFrame:
+    """The typed version log; an absent or still empty log reads as no rows. `remainder` adds the variant of undeclared fields."""
+    stored = table.state_schema()
+    stored = stored.add("_rest", T.VariantType()) if remainder else stored
+    schema = stored.add("yyyymm", T.IntegerType()).add("writer", T.StringType()).add("batch_id", T.LongType())
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:

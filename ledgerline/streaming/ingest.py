@@ -34,15 +34,17 @@ def stream_ingest(
     trigger: str | None = FLUSH,
     enveloped: bool = False,
     max_corrupt: int = MAX_CORRUPT,
+    remainder: bool = False,
 ) -> StreamingQuery:
     """Parse, type and append every batch of messages.
 
     Broken messages, and rows with an unreadable required time, go to the dead-letter
     folder. A batch with more broken messages than `max_corrupt` in every MAX_BLOCK_ROWS
     begun fails after they were stored, so nothing is lost and nothing goes by
-    unnoticed. Two counts are the only values the driver reads.
+    unnoticed. Two counts are the only values the driver reads. `remainder` keeps the
+    undeclared fields of flat messages in the log.
     """
-    parsed = unwrap_envelope(records, table) if enveloped else parse_flat(records, table)
+    parsed = unwrap_envelope(records, table) if enveloped else parse_flat(records, table, remainder=remainder)
     writer = writer_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:

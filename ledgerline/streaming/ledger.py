@@ -8,18 +8,21 @@ in which they come. Both have one account's events of a micro-batch in one task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.utils import AnalysisException
 
 from ledgerline.functions.account import decide
 from ledgerline.operators.ledger import CARRIED, apply_ledger, closing_balances, ledger_result
-from ledgerline.session import DEFAULTS, ship_package
+from ledgerline.session import DEFAULTS, remove_folder, shared_dir, ship_package
+from ledgerline.sources.generations import Log
+from ledgerline.sources.logs import writer_name
 from ledgerline.streaming.ingest import FLUSH, start
 
 OUTPUT = (
@@ -160,19 +163,20 @@ def wire_timeline(records: DataFrame) -> DataFrame:
     return records.select(F.from_json("value", schema).alias("m")).select("m.*")
 
 
-BALANCES = "id string, balance decimal(18,2), status string, batch_id bigint"
+BALANCES = "id string, balance decimal(18,2), status string, version bigint"
+PUBLISH_EVERY = 100  # batches between generations of the balances
+
+
+def balance_log(spark: SparkSession, path: str) -> Log:
+    """Balances after each batch, of the accounts the batch touched; generations keep the newest of each account."""
+    return Log(spark, path, T.StructType.fromDDL(BALANCES), ("id",), "version")
 
 
 def current_balances(spark: SparkSession, path: str, before_batch: int) -> DataFrame:
     """Balance and status per account after the batches before `before_batch`."""
-    try:
-        log = spark.read.schema(BALANCES).parquet(path)
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
-            raise
-        log = spark.createDataFrame([], BALANCES)
-    newest = log.where(F.col("batch_id") < before_batch).groupBy("id")
-    return newest.agg(F.expr("max_by(named_struct('balance', balance, 'status', status), batch_id) AS s")).select("id", "s.*")
+    rows = balance_log(spark, path).read().where(F.col("version") < before_batch)
+    newest = rows.groupBy("id").agg(F.expr("max_by(named_struct('balance', balance, 'status', status), version) AS s"))
+    return newest.select("id", "s.*")
 
 
 def start_ledger(
@@ -182,34 +186,47 @@ def start_ledger(
     checkpoint: str,
     parts: int | None = None,
     trigger: str | None = FLUSH,
+    publish_every: int = PUBLISH_EVERY,
 ) -> StreamingQuery:
     """The ledger batch by batch, with balances kept as an append-only log.
 
     Each batch starts from the balances after the batches before it, decides its
     events with :func:`apply_ledger`, which cuts a hot account into parts, and
     writes its own folders, so a batch that is run again replaces its own results.
-    One query owns the two paths.
+    Every `publish_every` batches the balances become a generation with one row for each account, so a batch reads the accounts
+    and a bounded number of batches, not all balances ever written. One query owns the two paths.
     """
+    writer = writer_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = current_balances(spark, balance_path, batch_id)
-        opened = batch.where("kind = 'open'").groupBy(F.col("account_id").alias("id")).agg(
-            F.expr("min_by(named_struct('cents', cents, 'status', type), named_struct('at', at, 'id', id)) AS s")
-        )
-        fresh = opened.join(known, "id", "left_anti").selectExpr(
-            "id", "CAST(CAST(s.cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS balance", "s.status AS status"
-        )
-        accounts = known.unionByName(fresh)
-        events = batch.where("kind <> 'open'").selectExpr(
-            "account_id", "at", "id", "kind", "type", "CAST(CAST(cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS amount", "intent", *CARRIED
-        )
-        # only accounts with events take part in the fold
-        active = accounts.join(events.select(F.col("account_id").alias("id")).distinct(), "id", "left_semi")
-        decided = apply_ledger(events, active, parts)
-        decided.write.mode("overwrite").parquet(f"{decided_path}/batch_id={batch_id}")
-        stored = spark.read.parquet(f"{decided_path}/batch_id={batch_id}")
-        changed = closing_balances(stored, active).unionByName(fresh.join(active, "id", "left_anti"))
-        changed.write.mode("overwrite").parquet(f"{balance_path}/batch_id={batch_id}")
+        batch.persist()
+        folder = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+        try:
+            known = current_balances(spark, balance_path, batch_id)
+            opened = batch.where("kind = 'open'").groupBy(F.col("account_id").alias("id")).agg(
+                F.expr("min_by(named_struct('cents', cents, 'status', type), named_struct('at', at, 'id', id)) AS s")
+            )
+            fresh = opened.join(known, "id", "left_anti").selectExpr(
+                "id", "CAST(CAST(s.cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS balance", "s.status AS status"
+            )
+            accounts = known.unionByName(fresh)
+            events = batch.where("kind <> 'open'").selectExpr(
+                "account_id", "at", "id", "kind", "type", "CAST(CAST(cents AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS amount", "intent", *CARRIED
+            )
+            # only accounts with events take part in the fold
+            active = accounts.join(events.select(F.col("account_id").alias("id")).distinct(), "id", "left_semi")
+            decided = apply_ledger(events, active, parts, folder)
+            decided.write.mode("overwrite").parquet(f"{decided_path}/batch_id={batch_id}")
+            stored = spark.read.parquet(f"{decided_path}/batch_id={batch_id}")
+            changed = closing_balances(stored, active).unionByName(fresh.join(active, "id", "left_anti"))
+            changed = changed.withColumn("version", F.lit(batch_id).cast("bigint"))
+            changed.write.mode("overwrite").parquet(f"{balance_path}/writer={writer}/batch_id={batch_id}")
+            if publish_every and (batch_id + 1) % publish_every == 0:
+                # this batch may be run again, and then needs the balances before it
+                balance_log(spark, balance_path).publish({writer: batch_id - 1})
+        finally:
+            batch.unpersist()
+            remove_folder(spark, folder)
 
     return start(timeline.writeStream.foreachBatch(write), checkpoint, trigger)

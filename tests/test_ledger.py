@@ -200,7 +200,7 @@ def test_stream_equals_batch(spark, tmp_path):
 
     def resume():
         events_in = wire_timeline(spark.readStream.format("text").load(str(source)))
-        start_ledger(events_in, *paths, parts=5, trigger=None).awaitTermination()
+        start_ledger(events_in, *paths, parts=5, trigger=None, publish_every=2).awaitTermination()
 
     resume()
     (source / "3.json").write_text(held)

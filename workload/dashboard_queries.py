@@ -11,10 +11,11 @@ from ledgerline.operators.history import velocity_any_window
 from ledgerline.operators.reconcile import differences
 from ledgerline.operators.sketches import RANK_ERROR, delay_sketches, merged_quantiles
 from workload import adapters as A
-from workload.adapters import AS_OF, DAY, RULES, out, with_views
+from workload.adapters import AS_OF, DAY, LIVE, RULES, out, with_views
 from workload.rule_queries import T, rounded, stamp
 
 MONTH = 30 * DAY
+LIVE_MS = 1_709_000_000_000  # after all rows
 HEALTH_AT = "2024-01-30 12:00:00"  # a moment with recent rows
 H = f"TIMESTAMP '{HEALTH_AT}'"
 LAG = "(epoch_us(ingested_at) // 1000 - epoch_us(created_at) // 1000)"
@@ -317,6 +318,28 @@ SELECT (SELECT sum(rows) FROM t) AS total_rows, (SELECT sum(rows) FROM t) - 500
             "txn",
         ),
     ),
+    "transactions_since_from_log": (
+        lambda s, d: out(L.since_from_log(A.stored_log(s, d), "1704499200000", highlight_above=100)),
+        with_views(
+            "SELECT id, account_id, CAST(amount AS DOUBLE) AS amount, currency, type, status, source_ts_ms + 1000 AS source_ts_ms, "
+            "CASE WHEN amount > 100 THEN 1 ELSE 0 END AS is_fraud FROM txn WHERE source_ts_ms + 1000 > 1704499200000 "
+            "ORDER BY source_ts_ms, id LIMIT 100",
+            extra=(LIVE,),
+        ),
+    ),
+    "live_transactions_from_log": (
+        lambda s, d: out(L.live_from_log(A.stored_log(s, d), A.accounts(s, d), A.merchants(s, d), LIVE_MS).drop("ingested_at")),
+        with_views(
+            f"SELECT t.id, CAST(t.amount AS DOUBLE) AS amount, t.currency, t.type, t.status, {stamp('t.created_at')} AS created_at, "
+            "t.source_ts_ms + 1000 AS source_ts_ms, a.full_name AS account_name, m.name AS merchant_name, "
+            "m.category AS merchant_category, m.risk_level AS merchant_risk FROM txn t LEFT JOIN accounts a ON t.account_id = a.id "
+            f"LEFT JOIN merchants m ON t.merchant_id = m.id WHERE t.source_ts_ms + 1000 <= {LIVE_MS} "
+            "ORDER BY t.source_ts_ms DESC, t.id LIMIT 20",
+            "accounts",
+            "merchants",
+            extra=(LIVE,),
+        ),
+    ),
     "transaction_by_id": (
         lambda s, d: out(L.transaction_by_id(A.txn(s, d), "77", validate=False)),
         with_views(

@@ -7,6 +7,7 @@ folder, where the streams read them; results are read back from what they wrote.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from pyspark.sql import types as T
 
 from ledgerline.operators import ledger as B
 from ledgerline.operators.state import latest_state, rewrite_compacted
-from ledgerline.operators.typing import type_rows
-from ledgerline.schemas import FRAUD_ALERTS, TRANSACTIONS
+from ledgerline.operators.typing import promote, type_rows
+from ledgerline.schemas import FRAUD_ALERTS, TRANSACTIONS, WHOLE
 from ledgerline.session import shared_dir
 from ledgerline.sources.changes import cdc_source, parse_flat
 from ledgerline.sources.generations import version_log
@@ -118,6 +119,18 @@ def state_from_log(s, d):
     return out(states[0].unionByName(states[1]))
 
 
+def promoted(s, d):
+    """A field that nobody declared, and that changes its kind in the middle of the topic, read as a column once it is declared."""
+    run = Run(s)
+    text = "regexp_replace(value, '\"promo_code\":\"promo\"', concat('\"promo_code\":', CAST(key AS BIGINT) % 7, ',\"extra\":{\"a\":[1]}'))"
+    records = A.wire_records(s, d).withColumn("value", F.expr(f"IF(CAST(key AS BIGINT) % 2 = 0, {text}, value)"))
+    records.write.json(run.path("in"))
+    ingest(run, cdc_source(s, TRANSACTIONS, run.path("in"), fmt="records"), remainder=True)
+    newer = replace(TRANSACTIONS, columns={**TRANSACTIONS.columns, "promo_code": WHOLE})
+    log = promote(read_log(s, run.path("log"), newer, remainder=True), newer)
+    return out(latest_state(log).select("id", "amount", "promo_code", F.try_variant_get("_rest", "$.extra.a[0]", "int").alias("extra")))
+
+
 def viewed(s, d):
     """Volume per minute kept from changes that come in no order, some of them twice."""
     run = Run(s)
@@ -318,6 +331,12 @@ QUERIES = {
   CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount, 'failed' AS status, event_id // 6 * 3 + 2 AS _offset
 FROM events, (VALUES ('log'), ('compacted')) v(read_from) WHERE event_id % 10 <> 9""",
     ),
+    "schema_promotion": (
+        promoted,
+        "SELECT CAST(event_id AS VARCHAR) AS id, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount, "
+        "CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 7 AS INTEGER) END AS promo_code, CASE WHEN event_id % 2 = 0 THEN 1 END AS extra "
+        "FROM events WHERE event_id % 10 <> 9",
+    ),
     "volume_view": (
         viewed,
         with_views(
