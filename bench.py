@@ -32,6 +32,8 @@ HEADLINE = (
     "rule_fail_spike",
     "rules_all",
     "alert_tick",
+    "rules_all_from_log",
+    "alert_tick_from_log",
     "alert_feed",
     "volume_per_minute",
     "top_merchants",
