@@ -4,6 +4,7 @@ import json
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from ledgerline.functions.account import decide
 from ledgerline.functions.folds import ACTIVE, NOTHING, SUSPENDED, Statuses, Summary, decide_runs, decision_columns, read_events
 from ledgerline.operators import ledger as B
 from ledgerline.streaming.ingest import start
-from ledgerline.streaming.ledger import HEARTBEAT, current_balances, event_time_ledger, start_ledger, stream_ledger, wire_timeline
+from ledgerline.streaming.ledger import EVENT, HEARTBEAT, OrderedLedger, current_balances, event_time_ledger, start_ledger, stream_ledger, wire_timeline
 
 EVENTS = "account_id string, t int, id string, kind string, type string, amount string, intent string"
 
@@ -246,3 +247,96 @@ def test_event_time_ledger_equals_batch_whatever_the_batches(spark, tmp_path):
     day = 86_400
     shifted = {i: (r[0], r[1].timestamp() + day, *r[2:]) for i, r in batch.items()}
     assert {r.id: (r.account_id, r["at"].timestamp(), *tuple(r)[2:]) for r in got} == shifted
+
+
+class KeptState:
+    """State in memory that counts what is written and looked up in it."""
+
+    def __init__(self):
+        self.calls, self.values = 0, {}
+
+
+class Value(KeptState):
+    held = None
+
+    def get(self):
+        self.calls += 1
+        return self.held
+
+    def update(self, value):
+        self.calls += 1
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+
+class Items(KeptState):
+    def get(self):
+        return iter(list(self.values.get("list", [])))
+
+    def appendValue(self, value):
+        self.calls += 1
+        self.values.setdefault("list", []).append(value)
+
+    def put(self, rows):
+        self.values["list"] = list(rows)
+
+    def clear(self):
+        self.values.pop("list", None)
+
+    def getValue(self, key):
+        return self.values.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.values[key] = value
+
+
+class Handle:
+    def __init__(self):
+        self.states, self.timers = {}, set()
+
+    def registerTimer(self, at_ms):
+        self.timers.add(at_ms)
+
+    def deleteTimer(self, at_ms):
+        self.timers.discard(at_ms)
+
+    def _state(self, kind, name):
+        return self.states.setdefault(name, kind())
+
+    getValueState = lambda self, name, schema: self._state(Value, name)
+    getListState = lambda self, name, schema: self._state(Items, name)
+    getMapState = lambda self, name, *schemas: self._state(Items, name)
+
+
+def test_a_bucket_of_early_events_costs_few_state_calls():
+    rnd = random.Random(8)
+    events = [(f"a{k % 9}" if k % 10 else None, 1000 * rnd.randrange(1, 400), f"t{k:03d}", 1, "topup", None, 100 + k, None, "m", "VND", None) for k in range(500)]
+    handle, ledger = Handle(), OrderedLedger()
+    ledger.init(handle)
+    opening = pd.DataFrame([(f"a{k}", k * 10_000, "active") for k in range(9)], columns=["account_id", "cents", "status"])
+    for part in (opening[:5], opening[5:]):
+        ledger.handleInitialState((7,), part, None)
+    for chunk in (events[:300], events[200:]):  # a hundred come twice
+        assert list(ledger.handleInputRows((7,), iter([pd.DataFrame(chunk, columns=EVENT)]), None)) == []
+    assert sum(state.calls for state in handle.states.values()) < 20  # not some for each event
+    assert handle.timers == {min(e[1] for e in events) // 1000}
+    told = []
+    for watermark_ms in (200, 400):
+        times = type("Times", (), {"getCurrentWatermarkInMs": lambda self, at=watermark_ms: at})()
+        for at in sorted(t for t in handle.timers if t <= watermark_ms):
+            handle.timers.discard(at)
+            for frame in ledger.handleExpiredTimer((7,), times, None):
+                told += frame.itertuples(index=False)
+        assert bool(handle.timers) == (watermark_ms == 200)
+    assert sorted(r.id for r in told) == [e[2] for e in events]
+    for account in [f"a{k}" for k in range(9)]:
+        balance = int(account[1:]) * 10_000
+        mine = [r for r in told if r.account_id == account]
+        assert [r.id for r in mine] == [e[2] for e in sorted((e for e in events if e[0] == account), key=lambda e: (e[1], e[2]))]
+        for r in mine:
+            balance += r.cents
+            assert r.balance_cents == balance
+    assert {r.outcome for r in told if r.account_id is None} != {r.outcome for r in told if r.account_id}
