@@ -14,7 +14,8 @@ from ledgerline.operators.reconcile import checksums, differences, differing_lea
 from ledgerline.operators.sketches import RANK_ERROR, delay_sketches, merged_quantiles
 from ledgerline.operators.state import latest_state
 from ledgerline.params import Velocity
-from ledgerline.streaming.views import read_volume_view, start_volume_view
+from ledgerline.streaming.ingest import start
+from ledgerline.streaming.views import read_volume_view, start_volume_view, volume_deltas
 
 
 def timed(spark, rows):
@@ -110,3 +111,19 @@ def test_view_takes_back_what_rows_no_longer_say(spark, tmp_path):
     for k in [*order[3:], order[0], order[4]]:  # the rest, and two batches once more
         put(k)
     assert same(run(), volume_per_minute(latest_state(versions), AS_OF, 7200))
+
+
+def test_the_state_of_a_view_has_a_key_a_bucket_and_not_a_row(spark, tmp_path):
+    rows = spark.range(3000).selectExpr(
+        "CAST(id % 1000 AS STRING) AS id", "CAST(1 AS DECIMAL(18,2)) AS amount", "'failed' AS status",
+        "timestamp_seconds(id % 1000 * 60) AS created_at", "IF(id >= 2000 AND id % 4 = 0, 'd', 'u') AS cdc_op", "id AS _source_ts_ms", "id AS _offset",
+    )
+    rows.write.parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    deltas = volume_deltas(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), buckets=16)
+    query = start(deltas.writeStream.outputMode("update").foreachBatch(lambda df, n: df.write.parquet(f"{out}/{n}")), str(tmp_path / "c"), None)
+    query.awaitTermination()
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 16
+    told = spark.read.parquet(f"{out}/*")
+    assert told.agg(F.sum("txn_count"), F.sum("cents"), F.sum("failed_count")).first() == (750, 75_000, 750)
+    assert told.select("minute_us").distinct().count() == 750
