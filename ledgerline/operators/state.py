@@ -166,7 +166,7 @@ def rewrite_compacted(log: DataFrame, path: str, before_month: int, table: Table
         compacted.join(F.broadcast(sizes), "yyyymm", "left")
         .withColumn("_part", F.pmod(F.xxhash64(*table.key), F.coalesce("_files", F.lit(1))))
         .drop("_files")
-        .repartition("yyyymm", "_part")
+        .hint("rebalance", "yyyymm", "_part")  # adaptive execution parts what is still too large for one task
         .drop("_part")
         .sortWithinPartitions("yyyymm", *[c for c in ("account_id", "created_at", "id") if c in log.columns])
         .write.mode("overwrite")

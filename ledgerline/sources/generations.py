@@ -144,7 +144,8 @@ class Log:
         sizes = rows.groupBy(part.alias("_of")).agg(F.expr(f"CAST(ceil(count(*) / {rows_per_file}) AS INT) AS _files"))
         spread = newest.join(sizes, F.col("_part") == F.col("_of")).withColumn("_file", F.pmod(F.xxhash64(*self.key), F.col("_files")))
         order = [c for c in ("account_id", "created_at", "id") if c in self.schema.names]
-        stored = spread.repartition("_part", "_file").drop("_of", "_files", "_file").sortWithinPartitions("_part", *order)
+        # adaptive execution parts what is still too large for one task to sort
+        stored = spread.hint("rebalance", "_part", "_file").drop("_of", "_files", "_file").sortWithinPartitions("_part", *order)
         stored.write.partitionBy("_part").option("parquet.bloom.filter.enabled#id", "true").parquet(f"{self.path}/{folder}")
         parts = {**old.parts, **{m: f"{folder}/_part={m}" for m in months}}
         made = Manifest(number, parts, {**old.covered, **until})

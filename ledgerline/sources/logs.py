@@ -30,13 +30,20 @@ def writer_name(checkpoint: str) -> str:
 
 
 def append_versions(rows: DataFrame, path: str, writer: str, batch_id: int) -> None:
-    """Write typed versions under their creation month, stamped with the ingest time."""
+    """Write typed versions under their creation month, stamped with the ingest time.
+
+    A task sorts what it writes. Where adaptive execution is on, which it is not inside a stream, rows are dealt anew to tasks of its advisory
+    size first, as a large part of a compressed file may be far larger in memory.
+    """
+    columns = sort_columns(rows)
+    if columns and rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows = rows.hint("rebalance", *columns)
     (
         rows.withColumn("_ingested_at", F.current_timestamp())
         .withColumn("yyyymm", month_key("created_at"))
         .withColumn("writer", F.lit(writer))
         .withColumn("batch_id", F.lit(batch_id))
-        .sortWithinPartitions("yyyymm", *sort_columns(rows))
+        .sortWithinPartitions("yyyymm", *columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*LOG_LAYOUT)

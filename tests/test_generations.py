@@ -101,3 +101,23 @@ def test_state_table_with_generations(spark, tmp_path):
         newest[tid] = (tid, amount, op)
     got = {r["id"]: r["amount"] for r in read_state_table(log.read()).collect()}
     assert got == {tid: amount for tid, amount, op in newest.values() if op != "d"}
+
+
+def test_a_batch_and_a_generation_are_sorted_by_several_tasks(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr(
+        "concat('t', id) AS id", "concat('a', id % 900) AS account_id", "CAST(id AS DECIMAL(18,2)) AS amount", "md5(CAST(id AS STRING)) AS description",
+        "timestamp_seconds(1704067200 + id) AS created_at", "'c' AS cdc_op", "id AS _source_ts_ms", "id AS _offset",
+    )
+    path, name = str(tmp_path / "log"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    log, usual = version_log(spark, path, TRANSACTIONS), spark.conf.get(name)
+    spark.conf.set(name, "256k")
+    try:
+        append_versions(rows.coalesce(1), path, "w", 0)
+        batch_files = log.read().inputFiles()
+        assert log.publish({"w": 0}).covered == {"w": 0}
+        for files in (batch_files, log.read().inputFiles()):
+            assert len(files) > 1
+            assert max(spark.read.parquet(f).count() for f in files) < 36_000
+    finally:
+        spark.conf.set(name, usual)
+    assert same(log.read().select(*rows.columns), rows)
