@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import glob
 import json
 import random
+from datetime import datetime
 
 import pytest
 from helpers import AS_OF, same, txns, values
@@ -10,11 +12,13 @@ from pyspark.errors import StreamingQueryException
 from ledgerline.operators.state import latest_state
 from ledgerline.params import RuleSet, Velocity
 from ledgerline.schemas import FRAUD_ALERTS, TRANSACTIONS
+from ledgerline.session import shared_dir
 from ledgerline.sources.changes import cdc_source
 from ledgerline.sources.logs import append_versions, log_since, read_log
 from ledgerline.streaming.detect import repaired_windows, rule_windows, stream_detect, stream_rule_windows
 from ledgerline.streaming.ingest import start, stream_ingest
 from ledgerline.streaming.state import read_state_table, start_state_table
+from workload.stream_queries import QUERIES
 
 
 def message(tid, ts, amount, op="c", **more):
@@ -169,3 +173,18 @@ def test_windows_and_their_repair_equal_brute_force(spark):
     assert shown(repaired_windows(told, made, made.where("late"), "VELOCITY", rules)) == want
     with pytest.raises(ValueError, match="not made of panes"):
         rule_windows(made, rules, 7)
+
+
+def test_rows_of_the_window_streams_are_written_by_all_tasks(spark, tmp_path):
+    events = spark.range(0, 400, 1, 4).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 600) AS ts", "id % 3 AS user_id", "'view' AS event_type", "1.0D AS value", "'{}' AS props"
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    runs = set(glob.glob(f"{shared_dir(spark)}/stream-*"))
+    told = QUERIES["stream_rule_windows"][0](spark, str(tmp_path)).collect()
+    (run,) = set(glob.glob(f"{shared_dir(spark)}/stream-*")) - runs
+    counts = sorted(spark.read.parquet(f).count() for f in glob.glob(f"{run}/txn/*.parquet"))
+    assert sum(counts) == 402 and max(counts) == 100
+    want = brute_windows([(str(k % 3), 1704067200 + k * 600) for k in range(400)], 86_400, 6 * 3600)
+    shown = {(r.account_id, int((r.window_start - datetime(1970, 1, 1)).total_seconds()), r.txn_count) for r in told}
+    assert shown == {(a, at, len(x)) for (a, at), x in want.items() if len(x) > 5}
